@@ -10,14 +10,14 @@ from vitrine.functions.text import dotted, reais, seller_caption, with_unit
 
 
 def kpi_cards(orders_headline: DataFrame, sellers_headline: DataFrame) -> DataFrame:
-    """One row of display texts. The one-row seller figures enter as a scalar subquery."""
-    sellers = sellers_headline.select(
-        F.struct(
-            reais(F.col("top_seller_revenue")).alias("top"),
-            F.format_number("active_sellers", 0).alias("active"),
-        )
-    ).scalar()
-    return orders_headline.select(
+    """One row of display texts.
+
+    The two one-row headlines are laid over each other (each leaves the other's columns null, max
+    keeps the value), so that both marts' stages run side by side in one job, without a join.
+    """
+    both = orders_headline.unionByName(sellers_headline, allowMissingColumns=True)
+    row = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    return row.select(
         reais(F.col("total_revenue")).alias("kpi_revenue"),
         dotted(F.col("total_orders")).alias("kpi_orders"),
         reais(F.col("aov")).alias("kpi_aov"),
@@ -25,8 +25,8 @@ def kpi_cards(orders_headline: DataFrame, sellers_headline: DataFrame) -> DataFr
         with_unit(F.col("avg_delivery_days"), 1, " days").alias("kpi_avg_delivery"),
         with_unit(F.col("avg_score"), 2, " / 5").alias("kpi_avg_score"),
         with_unit(F.col("csat_pct"), 1, "%").alias("kpi_csat"),
-        sellers["top"].alias("kpi_top_seller_rev"),
-        sellers["active"].alias("kpi_active_sellers"),
+        reais(F.col("top_seller_revenue")).alias("kpi_top_seller_rev"),
+        F.format_number("active_sellers", 0).alias("kpi_active_sellers"),
     )
 
 
