@@ -23,7 +23,8 @@ def build(spark: SparkSession, raw: RawReader, store: MartStore) -> Datasets:
     """Full refresh of both marts.
 
     The orders mart is written first and the sellers mart reads it back, so its joins run once
-    and a lost executor never recomputes more than one of the two.
+    and a lost executor never recomputes more than one of the two. The old files are gone
+    afterwards: go on with the datasets returned here.
     """
     store.write_orders(Datasets(spark, raw).mart_orders_wide)
     fresh = Datasets(spark, raw)
