@@ -9,8 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from vitrine.operators.skew import hot_keys
 from vitrine.plans.datasets import Datasets
+from vitrine.sources.schemas import RAW
 
+AT_HAND = {"orders", "customers", "order_items", "order_payments", "order_reviews", "sellers"}
 SF = "/root/testdata/sf0.001"
 
 
@@ -177,3 +180,25 @@ def test_hot_order_and_seller_reach_the_joins_collapsed(spark):
     join = plan[plan.index("Join Inner") :]
     assert join.count("Aggregate [seller_id") == 1
     assert re.search(r"Aggregate \[order_id#\d+\].*copies", join)
+
+
+def test_copies_of_an_order_are_joined_where_they_lie(spark):
+    raw = skewed_layer(spark, 3_000)
+    copies = raw("orders").withColumn(
+        "order_id", F.when(F.col("customer_id") == "hot", "0").otherwise(F.nullif("order_id", F.lit("1")))
+    )
+    layer = {**{t: raw(t) for t in RAW if t in AT_HAND}, "orders": copies}
+    with settings(spark, **AT_SCALE):
+        hot = hot_keys(copies, "order_id", least_rows=100)
+        plain = Datasets(spark, layer.__getitem__).mart_orders_wide
+        split = Datasets(spark, layer.__getitem__, hot_orders=hot).mart_orders_wide
+        assert hot == ["0"]
+        assert sorted(plain.collect(), key=str) == sorted(split.collect(), key=str)
+        assert physical(split).count("BroadcastHashJoin") >= 3
+    assert hot_keys(raw("orders"), "order_id", least_rows=100) == []
+
+
+def test_hot_keys_are_few_by_proof(spark):
+    df = spark.range(100_000).select((F.col("id") % 2_000).cast("string").alias("k"))
+    assert hot_keys(df, "k", least_rows=1) == []
+    assert sorted(hot_keys(df.filter("k < 900"), "k", least_rows=1)) == sorted(map(str, range(900)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,18 +66,49 @@ def recognized_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
+def _with_totals(
+    orders: DataFrame,
+    parts: list[DataFrame],
+    lookup: Callable[[DataFrame], DataFrame] = lambda totals: totals,
+) -> DataFrame:
+    items, payments, reviews = parts
+    for totals in (item_totals(items), payment_totals(payments), best_reviews(reviews)):
+        orders = orders.join(lookup(totals), "order_id", "left")
+    return orders
+
+
+def orders_with_totals(
+    orders: DataFrame, parts: list[DataFrame], hot_orders: Sequence[str] = ()
+) -> DataFrame:
+    """Orders with the totals of `parts` (items, payments, reviews).
+
+    The totals come out of their aggregation partitioned by order_id, so the joins move only the
+    orders, once. They stay three joins because a query that needs no item, payment or review
+    column then loses that join altogether: Catalyst knows that the totals' key is unique.
+
+    `hot_orders` (see hot_keys) are ids with so many copies that one task could not join them.
+    Their totals are one row an id, under a thousand rows, and are broadcast, so that the copies
+    stay where they are. Orders without an id match nothing and take the same way.
+    """
+    if not hot_orders:
+        return _with_totals(orders, parts)
+    hot = F.col("order_id").isin(list(hot_orders))
+    hot_or_null = F.coalesce(hot, F.lit(True))
+    return _with_totals(orders.filter(~hot_or_null), parts).unionByName(
+        _with_totals(orders.filter(hot_or_null), [p.filter(hot) for p in parts], F.broadcast)
+    )
+
+
 def orders_mart(
     orders: DataFrame,
     items: DataFrame,
     payments: DataFrame,
     customers: DataFrame,
     reviews: DataFrame,
+    hot_orders: Sequence[str] = (),
 ) -> DataFrame:
     """Left joins only, so each order stays exactly once while the key of `customers` is unique.
 
-    The three totals come out of their aggregation partitioned by order_id, so those joins move
-    only the orders, once. They stay three joins because a query that needs no item, payment or
-    review column then loses that join altogether: Catalyst knows the totals' key is unique.
     Customers come last; their join keeps a shuffle on either side, which is the form in which
     adaptive execution splits a customer with very many orders.
     """
@@ -85,9 +118,7 @@ def orders_mart(
         F.col("state").alias("customer_state"),
     )
     return (
-        orders.join(item_totals(items), "order_id", "left")
-        .join(payment_totals(payments), "order_id", "left")
-        .join(best_reviews(reviews), "order_id", "left")
+        orders_with_totals(orders, [items, payments, reviews], hot_orders)
         .join(places, "customer_id", "left")
         .select(
             "order_id",

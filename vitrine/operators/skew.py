@@ -1,0 +1,20 @@
+"""Keys that hold too many rows for one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MOST_KEYS = 1000
+
+
+def hot_keys(df: DataFrame, key: str, least_rows: int = 1_000_000) -> list:
+    """Values of `key` with over `least_rows` rows and over one in a thousand of all rows.
+
+    The second bound is what makes the list safe to bring to the driver: fewer than a thousand
+    values can each hold more than a thousandth. Runs a job over the key column alone, combined
+    before its shuffle.
+    """
+    bound = max(least_rows, df.count() // MOST_KEYS)
+    sizes = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return [row[key] for row in sizes.filter(F.col("n") > bound).collect()]

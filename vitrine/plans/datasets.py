@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +29,12 @@ class Datasets:
         store: MartStore | None = None,
         as_of: dt.date | None = None,
         exclude_years: Iterable[int] = INCOMPLETE_YEARS,
+        hot_orders: Sequence[str] = (),
     ):
         self.spark = spark
         self.raw = raw
         self.store = store
+        self.hot_orders = hot_orders
         self.window = {"as_of": as_of, "exclude_years": tuple(exclude_years)}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -110,6 +112,7 @@ class Datasets:
             self.stg_order_payments,
             self.stg_customers,
             self.stg_order_reviews,
+            self.hot_orders,
         )
 
     @cached_property

@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.functions.fixed_values import RAW_FILES
+from vitrine.operators.skew import hot_keys
 from vitrine.plans.datasets import Datasets
 from vitrine.session import build_session, shared_folder
 from vitrine.sources.marts import MartStore
@@ -26,7 +27,8 @@ def build(spark: SparkSession, raw: RawReader, store: MartStore) -> Datasets:
     and a lost executor never recomputes more than one of the two. The old files are gone
     afterwards: go on with the datasets returned here.
     """
-    store.write_orders(Datasets(spark, raw).mart_orders_wide)
+    hot = hot_keys(raw("orders"), "order_id")  # none while the key is sound
+    store.write_orders(Datasets(spark, raw, hot_orders=hot).mart_orders_wide)
     fresh = Datasets(spark, raw)
     fresh.__dict__["mart_orders_wide"] = store.orders()
     store.write_sellers(fresh.mart_sellers_wide)
