@@ -19,6 +19,8 @@ from vitrine.sources.star_schema import STAR_SQL
 
 # cuts that bite on the test data, whose dates run from 1995-01 to 2001-08
 AS_OF, EXCLUDED_YEAR = "2001-07-15", 1995
+RANGE = ("1997-03-15", "1999-09-20")
+LEAST_ON_TIME, LEAST_SCORE = 50.0, 2.95
 
 _DEFS: dict[str, str] = {
     f"raw_{name}": sql.format(**{t: t for t in tables}) for name, (tables, sql) in STAR_SQL.items()
@@ -256,6 +258,120 @@ _DEFS["dq_not_null"] = " UNION ALL ".join(_not_null(*k) for k in KEY_TESTS)
 _DEFS["dq_suite"] = "SELECT * FROM dq_unique UNION ALL SELECT * FROM dq_not_null"
 _DEFS["granularity_audit"] = " UNION ALL ".join(_repeated_groups(*g) for g in GRAIN_AUDIT)
 
+_statuses = ", ".join(f"'{status}'" for status in ORDER_STATUSES)
+_scores = ", ".join(str(score) for score in REVIEW_SCORES)
+
+
+def _accepted(dataset: str, column: str, values: str) -> str:
+    return f"""
+        SELECT '{dataset}' AS dataset, '{column}' AS "column", 'accepted_values' AS test,
+               count(DISTINCT {column}) AS failures, count(DISTINCT {column}) = 0 AS passed
+        FROM {dataset} WHERE {column} NOT IN ({values})"""
+
+
+def _related(dataset: str, column: str, parent: str) -> str:
+    return f"""
+        SELECT '{dataset}' AS dataset, '{column}' AS "column", 'relationships' AS test,
+               count(*) AS failures, count(*) = 0 AS passed
+        FROM {dataset} child
+        WHERE {column} IS NOT NULL
+          AND NOT EXISTS (FROM {parent} WHERE {parent}.{column} = child.{column})"""
+
+
+_DEFS |= {
+    "dq_accepted_values": _accepted("stg_orders", "order_status", _statuses)
+    + " UNION ALL "
+    + _accepted("stg_order_reviews", "review_score", _scores),
+    "dq_relationships": " UNION ALL ".join(
+        _related(*r)
+        for r in [
+            ("mart_orders_wide", "order_id", "stg_orders"),
+            ("mart_orders_wide", "customer_id", "stg_customers"),
+            ("mart_sellers_wide", "seller_id", "stg_sellers"),
+            ("stg_order_items", "order_id", "mart_orders_wide"),
+            ("stg_order_items", "seller_id", "mart_sellers_wide"),
+        ]
+    ),
+    "repeated_reviews": """
+        SELECT review_id, count(*) AS copies, count(DISTINCT order_id) AS orders,
+               min(review_score) = max(review_score) AS same_score,
+               min(review_created_at) AS first_created_at, max(review_created_at) AS last_created_at
+        FROM stg_order_reviews GROUP BY review_id HAVING count(*) > 1""",
+    "mart_customers_wide": """
+        SELECT c.customer_unique_id, count(m.order_id) AS total_orders,
+               ifnull(sum(m.recognized_revenue), 0)::DECIMAL(38,3) AS total_revenue,
+               min(m.purchased_at) AS first_purchase_at, max(m.purchased_at) AS last_purchase_at,
+               date_trunc('month', min(m.purchased_at))::TIMESTAMP AS cohort_month,
+               count(m.order_id) > 1 AS is_repeat
+        FROM stg_customers c LEFT JOIN mart_orders_wide m USING (customer_id)
+        GROUP BY c.customer_unique_id""",
+    "dated_orders": """
+        SELECT c.customer_unique_id, m.order_id, m.recognized_revenue, m.order_month,
+               min(m.order_month) OVER (PARTITION BY c.customer_unique_id) AS first_month
+        FROM mart_orders_wide m JOIN stg_customers c USING (customer_id)""",
+    "customer_cohorts": """
+        SELECT strftime(first_month, '%Y-%m') AS cohort,
+               date_diff('month', first_month, order_month) AS months_since,
+               count(DISTINCT customer_unique_id) AS customers, count(order_id) AS orders,
+               sum(recognized_revenue)::DECIMAL(38,3) AS revenue
+        FROM dated_orders GROUP BY ALL""",
+    "category_revenue": """
+        SELECT ifnull(t.product_category_name_english, p.product_category_name) AS category,
+               sum(i.item_price)::DECIMAL(38,3) AS revenue, count(i.order_item_id) AS items_count
+        FROM stg_order_items i
+        JOIN mart_orders_wide m ON m.order_id = i.order_id
+             AND m.order_status IS DISTINCT FROM 'canceled'
+             AND m.order_status IS DISTINCT FROM 'unavailable'
+        LEFT JOIN stg_products p ON p.product_id = i.product_id
+        LEFT JOIN stg_category_translation t ON t.product_category_name = p.product_category_name
+        GROUP BY ALL""",
+    "revenue_in_range": f"""
+        SELECT month, sum(recognized_revenue)::DECIMAL(38,3) AS revenue, count(order_id) AS orders,
+               avg(recognized_revenue) FILTER (WHERE recognized_revenue > 0) AS aov
+        FROM closed_orders
+        WHERE purchased_at::DATE BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'
+        GROUP BY ALL""",
+    "leader_history": """
+        SELECT r.seller_id, m.order_id, m.purchased_at, m.order_status,
+               sum(i.item_price)::DECIMAL(38,3) AS seller_revenue,
+               count(i.order_item_id) AS seller_items,
+               m.delivery_days, m.delay_days, m.is_on_time, m.review_score
+        FROM ranked_sellers r
+        JOIN stg_order_items i ON i.seller_id = r.seller_id
+        JOIN mart_orders_wide m ON m.order_id = i.order_id
+        WHERE r.place = 1
+        GROUP BY ALL""",
+    "state_delivery": """
+        SELECT customer_state, count(is_on_time) AS deliveries,
+               round(100.0 * count(*) FILTER (WHERE is_on_time) / count(*), 1) AS on_time_pct,
+               round(avg(delivery_days), 1) AS avg_delivery_days,
+               round(avg(delay_days), 1) AS avg_delay_days
+        FROM mart_orders_wide WHERE is_on_time IS NOT NULL GROUP BY ALL""",
+    "state_satisfaction": """
+        SELECT customer_state, count(review_score) AS reviews,
+               round(avg(review_score), 2) AS avg_score,
+               round(100.0 * count(*) FILTER (WHERE review_score >= 4) / count(*), 1) AS csat_pct
+        FROM mart_orders_wide WHERE review_score IS NOT NULL GROUP BY ALL""",
+    "delay_by_score": """
+        SELECT review_score, count(*) AS orders, round(avg(delay_days), 2) AS avg_delay_days
+        FROM mart_orders_wide
+        WHERE review_score IS NOT NULL AND delay_days IS NOT NULL GROUP BY ALL""",
+    "score_delay_correlation": """
+        SELECT n AS orders,
+               (n * xy - x * y)::DOUBLE
+                   / (sqrt((n * xx - x * x)::DOUBLE) * sqrt((n * yy - y * y)::DOUBLE)) AS correlation
+        FROM (SELECT count(*) AS n, sum(review_score) AS x, sum(delay_days) AS y,
+                     sum(review_score * delay_days) AS xy, sum(review_score * review_score) AS xx,
+                     sum(delay_days * delay_days) AS yy
+              FROM mart_orders_wide WHERE review_score IS NOT NULL AND delay_days IS NOT NULL)""",
+    "underperforming_sellers": f"""
+        SELECT seller_id, seller_state, total_orders, on_time_pct, avg_review_score,
+               ifnull(on_time_pct < {LEAST_ON_TIME}, false) AS is_late,
+               ifnull(avg_review_score < {LEAST_SCORE}, false) AS is_poorly_rated
+        FROM mart_sellers_wide
+        WHERE total_orders > 0 AND (on_time_pct < {LEAST_ON_TIME} OR avg_review_score < {LEAST_SCORE})""",
+}
+
 
 def statement(name: str) -> str:
     """The dataset's SQL, preceded by the subqueries it needs in order of use."""

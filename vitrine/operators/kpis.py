@@ -103,20 +103,23 @@ def monthly_delay(
 # --- sellers and places ------------------------------------------------------------------------
 
 
-def top_sellers(mart: DataFrame, n: int = 10) -> DataFrame:
+def leaders(mart: DataFrame, n: int) -> DataFrame:
     """The n sellers with most revenue. Equal revenue is ordered by id."""
     return (
         mart.filter(F.col("total_revenue") > 0)
         .orderBy(F.col("total_revenue").desc(), F.col("seller_id"))
         .limit(n)
-        .select(
-            F.substring("seller_id", 1, 8).alias("seller_label"),
-            "seller_state",
-            "total_revenue",
-            "avg_review_score",
-            "on_time_pct",
-            "total_orders",
-        )
+    )
+
+
+def top_sellers(mart: DataFrame, n: int = 10) -> DataFrame:
+    return leaders(mart, n).select(
+        F.substring("seller_id", 1, 8).alias("seller_label"),
+        "seller_state",
+        "total_revenue",
+        "avg_review_score",
+        "on_time_pct",
+        "total_orders",
     )
 
 

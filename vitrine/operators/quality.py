@@ -21,7 +21,7 @@ def _group_sizes(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _result(dataset: str, column: str, test: Column | str, failures: Column) -> list[Column]:
+def result_row(dataset: str, column: str, test: Column | str, failures: Column) -> list[Column]:
     return [
         F.lit(dataset).alias("dataset"),
         F.lit(column).alias("column"),
@@ -35,13 +35,13 @@ def unique_test(df: DataFrame, dataset: str, column: str) -> DataFrame:
     """Failures: values that occur more than once. Null is not a value here."""
     sizes = _group_sizes(df.filter(F.col(column).isNotNull()), [column])
     counted = sizes.agg(F.count_if(F.col("n") > 1).alias("failures"))
-    return counted.select(*_result(dataset, column, "unique", F.col("failures")))
+    return counted.select(*result_row(dataset, column, "unique", F.col("failures")))
 
 
 def not_null_test(df: DataFrame, dataset: str, column: str) -> DataFrame:
     """Failures: rows without a value."""
     counted = df.agg(F.count_if(F.col(column).isNull()).alias("failures"))
-    return counted.select(*_result(dataset, column, "not_null", F.col("failures")))
+    return counted.select(*result_row(dataset, column, "not_null", F.col("failures")))
 
 
 def key_tests(df: DataFrame, dataset: str, column: str) -> DataFrame:
@@ -58,7 +58,7 @@ def key_tests(df: DataFrame, dataset: str, column: str) -> DataFrame:
         )
     )
     return counted.select(outcome).select(
-        *_result(dataset, column, F.col("test"), F.col("failures"))
+        *result_row(dataset, column, F.col("test"), F.col("failures"))
     )
 
 

@@ -8,8 +8,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.functions.fixed_values import INCOMPLETE_YEARS
-from vitrine.operators import cards, kpis, orders_mart, quality, sellers_mart, staging
+from vitrine.functions.fixed_values import INCOMPLETE_YEARS, ORDER_STATUSES, REVIEW_SCORES
+from vitrine.operators import cards, followups, kpis, orders_mart, quality, sellers_mart, staging
 from vitrine.sources.marts import MartStore
 from vitrine.sources.raw import RawReader
 from vitrine.sources.states import state_centres
@@ -213,3 +213,83 @@ class Datasets:
     @cached_property
     def granularity_audit(self) -> DataFrame:
         return quality.granularity_audit(self.raw)
+
+    # next steps
+
+    @cached_property
+    def dq_accepted_values(self) -> DataFrame:
+        test = followups.accepted_values_test
+        return quality.union_all(
+            [
+                test(self.stg_orders, "stg_orders", "order_status", ORDER_STATUSES),
+                test(self.stg_order_reviews, "stg_order_reviews", "review_score", REVIEW_SCORES),
+            ]
+        )
+
+    @cached_property
+    def dq_relationships(self) -> DataFrame:
+        test = followups.relationship_test
+        orders, sellers = self.mart_orders_wide, self.mart_sellers_wide
+        return quality.union_all(
+            [
+                test(orders, "mart_orders_wide", "order_id", self.stg_orders, "order_id"),
+                test(orders, "mart_orders_wide", "customer_id", self.stg_customers, "customer_id"),
+                test(sellers, "mart_sellers_wide", "seller_id", self.stg_sellers, "seller_id"),
+                test(self.stg_order_items, "stg_order_items", "order_id", orders, "order_id"),
+                test(self.stg_order_items, "stg_order_items", "seller_id", sellers, "seller_id"),
+            ]
+        )
+
+    @cached_property
+    def repeated_reviews(self) -> DataFrame:
+        return followups.repeated_reviews(self.stg_order_reviews)
+
+    @cached_property
+    def mart_customers_wide(self) -> DataFrame:
+        return followups.customers_mart(self.stg_customers, self.mart_orders_wide)
+
+    @cached_property
+    def customer_cohorts(self) -> DataFrame:
+        return followups.customer_cohorts(self.stg_customers, self.mart_orders_wide)
+
+    @cached_property
+    def category_revenue(self) -> DataFrame:
+        return followups.category_revenue(
+            self.stg_order_items,
+            self.mart_orders_wide,
+            self.stg_products,
+            self.stg_category_translation,
+        )
+
+    def between(self, first: dt.date, last: dt.date) -> Datasets:
+        """The same datasets over the orders bought in a range of days."""
+        sliced = Datasets(self.spark, self.raw, None, **self.window)
+        sliced.__dict__["mart_orders_wide"] = followups.purchased_between(
+            self.mart_orders_wide, first, last
+        )
+        return sliced
+
+    @cached_property
+    def leader_history(self) -> DataFrame:
+        return followups.seller_history(
+            kpis.leaders(self.mart_sellers_wide, 1), self.stg_order_items, self.mart_orders_wide
+        )
+
+    @cached_property
+    def state_delivery(self) -> DataFrame:
+        return followups.state_delivery(self.mart_orders_wide)
+
+    @cached_property
+    def state_satisfaction(self) -> DataFrame:
+        return followups.state_satisfaction(self.mart_orders_wide)
+
+    @cached_property
+    def delay_by_score(self) -> DataFrame:
+        return followups.delay_by_score(self.mart_orders_wide)
+
+    @cached_property
+    def score_delay_correlation(self) -> DataFrame:
+        return followups.score_delay_correlation(self.mart_orders_wide)
+
+    def underperforming_sellers(self, least_on_time: float, least_score: float) -> DataFrame:
+        return followups.underperforming_sellers(self.mart_sellers_wide, least_on_time, least_score)
