@@ -1,0 +1,138 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+
+from tests.frames import item, one, order, payment, raw_layer, review
+from vitrine.operators import followups, kpis
+from vitrine.plans.datasets import Datasets
+
+
+def test_accepted_values_count_distinct_strangers_and_skip_null(spark):
+    df = spark.createDataFrame([("a",), ("x",), ("x",), ("y",), (None,)], "v string")
+    row = one(followups.accepted_values_test(df, "d", "v", ["a", "b"]))
+    assert tuple(row) == ("d", "v", "accepted_values", 2, False)
+
+
+def test_relationships_count_rows_without_a_parent(spark):
+    child = spark.createDataFrame([("a",), ("x",), ("x",), (None,)], "k string")
+    parent = spark.createDataFrame([("a",), ("a",), (None,)], "key string")
+    row = one(followups.relationship_test(child, "d", "k", parent, "key"))
+    assert tuple(row) == ("d", "k", "relationships", 2, False)
+
+
+def test_repeated_reviews(spark):
+    rows = [review("a", 5, "r"), review("b", 5, "r"), review("b", 1, "s"), review("b", 3, "s"), review("c", 1, "t")]
+    got = Datasets(spark, raw_layer(spark, order_reviews=rows)).repeated_reviews
+    r, s = one(got, review_id="r"), one(got, review_id="s")
+    assert (r.copies, r.orders, r.same_score) == (2, 2, True)
+    assert (s.copies, s.orders, s.same_score) == (2, 1, False)
+    assert got.count() == 2
+
+
+@pytest.fixture()
+def people(spark):
+    """One person with two accounts buys in January and March, another never."""
+    return Datasets(
+        spark,
+        raw_layer(
+            spark,
+            orders=[
+                order("1", customer_id="x", order_purchase_timestamp="2017-01-10 00:00:00"),
+                order("2", customer_id="y", order_purchase_timestamp="2017-03-10 00:00:00"),
+                order("3", customer_id="y", order_purchase_timestamp="2017-03-11 00:00:00"),
+                order("4", customer_id="stranger"),
+            ],
+            order_payments=[payment("1", 10.0), payment("2", 5.0), payment("3", 2.0)],
+            customers=[
+                {"customer_id": c, "customer_unique_id": u} for c, u in [("x", "u"), ("y", "u"), ("z", "v")]
+            ],
+        ),
+    )
+
+
+def test_customers_mart(people):
+    u, v = (one(people.mart_customers_wide, customer_unique_id=k) for k in "uv")
+    assert (u.total_orders, u.total_revenue, u.is_repeat) == (3, Decimal("17.000"), True)
+    assert u.cohort_month == dt.datetime(2017, 1, 1)
+    assert u.last_purchase_at == dt.datetime(2017, 3, 11)
+    assert (v.total_orders, v.total_revenue, v.is_repeat, v.cohort_month) == (0, 0, False, None)
+
+
+def test_cohorts(people):
+    got = {(r.cohort, r.months_since): tuple(r)[2:] for r in people.customer_cohorts.collect()}
+    assert got == {
+        ("2017-01", 0): (1, 1, Decimal("10.000")),
+        ("2017-01", 2): (1, 2, Decimal("7.000")),
+    }
+
+
+def test_category_falls_back_to_the_original_name(spark):
+    d = Datasets(
+        spark,
+        raw_layer(
+            spark,
+            orders=[order("1"), order("2", order_status="canceled"), order("3", order_status=None)],
+            order_items=[
+                item("1", "s", 10.0) | {"product_id": "p"},
+                item("1", "s", 3.0, 2) | {"product_id": "q"},
+                item("2", "s", 100.0) | {"product_id": "p"},
+                item("3", "s", 1.0) | {"product_id": "lost"},
+            ],
+            products=[
+                {"product_id": "p", "product_category_name": "auto"},
+                {"product_id": "q", "product_category_name": "raro"},
+            ],
+            category_translation=[{"product_category_name": "auto", "product_category_name_english": "cars"}],
+        ),
+    )
+    got = {r.category: (int(r.revenue), r.items_count) for r in d.category_revenue.collect()}
+    assert got == {"cars": (10, 1), "raro": (3, 1), None: (1, 1)}
+
+
+def test_range_includes_both_days(spark):
+    days = ["2017-03-09 23:59:59", "2017-03-10 00:00:00", "2017-04-02 23:59:59", "2017-04-03 00:00:00"]
+    d = Datasets(
+        spark,
+        raw_layer(spark, orders=[order(str(i), order_purchase_timestamp=t) for i, t in enumerate(days)]),
+    )
+    sliced = d.between(dt.date(2017, 3, 10), dt.date(2017, 4, 2))
+    assert {r.order_id for r in sliced.mart_orders_wide.collect()} == {"1", "2"}
+    assert [r.orders for r in sliced.cfo_monthly_revenue.collect()] == [1, 1]
+    # the sellers' figures follow the slice
+    assert sliced.mart_sellers_wide.count() == 0
+
+
+def test_history_and_underperformance(spark):
+    d = Datasets(
+        spark,
+        raw_layer(
+            spark,
+            sellers=[{"seller_id": s, "seller_state": "SP"} for s in ("big", "late", "poor", "idle")],
+            orders=[
+                order("1"),
+                order("2", order_delivered_customer_date="2017-04-20 00:00:00"),
+                order("3"),
+                order("4", order_status="shipped"),
+            ],
+            order_items=[item("1", "big", 100.0), item("2", "late", 1.0), item("3", "poor", 1.0), item("4", "big", 7.0)],
+            order_reviews=[review("3", 1), review("1", 5)],
+        ),
+    )
+    history = {r.order_id: (r.seller_id, r.order_status) for r in d.leader_history.collect()}
+    assert history == {"1": ("big", "delivered"), "4": ("big", "shipped")}
+    flagged = {r.seller_id: (r.is_late, r.is_poorly_rated) for r in d.underperforming_sellers(80.0, 3.0).collect()}
+    assert flagged == {"late": (True, False), "poor": (False, True)}
+    assert kpis.leaders(d.mart_sellers_wide, 1).count() == 1
+
+
+def test_correlation(spark):
+    rows = [(5, 0), (4, 1), (1, 9), (2, 4), (None, 3), (3, None)]
+    mart = spark.createDataFrame(rows, "review_score int, delay_days bigint")
+    row = one(followups.score_delay_correlation(mart))
+    expected = mart.filter("review_score is not null and delay_days is not null").corr("review_score", "delay_days")
+    assert row.orders == 4
+    assert row.correlation == pytest.approx(expected)
+    flat = spark.createDataFrame([(5, 1), (5, 2)], "review_score int, delay_days bigint")
+    assert one(followups.score_delay_correlation(flat)).correlation is None
+    assert one(followups.score_delay_correlation(mart.limit(0))).correlation is None

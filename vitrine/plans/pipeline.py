@@ -47,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     spark = build_session()
-    root = shared_folder(spark, args.root) if not args.root else args.root.rstrip("/")
+    root = (args.root or shared_folder(spark)).rstrip("/")
     if args.csv:
         seed(spark, args.csv, f"{root}/raw")
     raw = parquet_folder(spark, f"{root}/raw")
