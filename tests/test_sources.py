@@ -48,6 +48,13 @@ def test_empty_dates_are_null_and_prefixes_keep_zeros(spark, tmp_path):
     assert one(d.stg_customers).zip_code_prefix == "01037"
 
 
+def test_quoted_nothing_is_null(spark, tmp_path):
+    file = write(tmp_path / "t.csv", header("orders") + '\n"a","c","created","2017-01-01 10:00:00","",,"","2017-02-01"\n')
+    row = one(read_csv(spark, "orders", file))
+    assert row.order_approved_at is row.order_delivered_customer_date is None
+    assert row.order_status == "created"
+
+
 def test_wrong_header_is_an_error(spark, tmp_path):
     file = write(tmp_path / "t.csv", "seller_id,city,zip,state\na,b,c,d\n")
     with pytest.raises(Exception, match="(?i)header"):

@@ -28,8 +28,11 @@ def build_session(
         .config("spark.ui.enabled", "false")
     )
     if master:
-        builder = builder.master(master).config(
-            "spark.driver.memory", os.environ.get("VITRINE_DRIVER_MEMORY", "8g")
+        builder = (
+            builder.master(master)
+            .config("spark.driver.memory", os.environ.get("VITRINE_DRIVER_MEMORY", "8g"))
+            # many generated classes in one JVM; the default code cache fills in a long session
+            .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=512m")
         )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vitrine.functions.fixed_values import RAW_FILES
 from vitrine.sources.schemas import MULTILINE, raw_schema
@@ -25,9 +26,20 @@ def csv_options(table: str) -> dict[str, str]:
     }
 
 
+def blank_to_null(df: DataFrame) -> DataFrame:
+    """A field of quoted nothing is as missing as one without quotes."""
+    return df.select(
+        [
+            F.nullif(F.col(name), F.lit("")).alias(name) if kind == "string" else F.col(name)
+            for name, kind in df.dtypes
+        ]
+    )
+
+
 def read_csv(spark: SparkSession, table: str, path: str | list[str]) -> DataFrame:
     """One raw table from CSV files with a header; a byte-order mark is dropped."""
-    return spark.read.schema(raw_schema(table)).options(**csv_options(table)).csv(path)
+    reader = spark.read.schema(raw_schema(table)).options(**csv_options(table))
+    return blank_to_null(reader.csv(path))
 
 
 def csv_folder(spark: SparkSession, folder: str) -> RawReader:

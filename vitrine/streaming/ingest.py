@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vitrine.functions.fixed_values import RAW_FILES
 from vitrine.session import shared_folder
-from vitrine.sources.raw import csv_options
+from vitrine.sources.raw import blank_to_null, csv_options
 from vitrine.sources.schemas import raw_schema
 
 
@@ -16,7 +16,7 @@ def arriving(spark: SparkSession, table: str, landing: str, max_files: int | Non
     reader = spark.readStream.schema(raw_schema(table)).options(**csv_options(table))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.csv(landing)
+    return blank_to_null(reader.csv(landing))
 
 
 def ingest(
