@@ -29,10 +29,11 @@ def relationship_test(
 ) -> DataFrame:
     """Failures: rows whose key has no parent. Null passes.
 
-    Keys are counted before the join, so a key with a third of the rows is one row in it.
+    Keys of both sides are collapsed before the join, so a key with a third of the rows is one
+    row in it.
     """
     keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_column).alias(column))
+    known = parent.select(F.col(parent_column).alias(column)).distinct()
     orphans = keys.join(known, column, "left_anti")
     counted = orphans.agg(F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("failures"))
     return counted.select(*result_row(dataset, column, "relationships", F.col("failures")))
@@ -143,7 +144,7 @@ def category_revenue(
     sold = (
         items.groupBy("product_id", "order_id")
         .agg(F.sum("item_price").alias("price"), F.count("order_item_id").alias("items"))
-        .join(valid.select("order_id"), "order_id", "left_semi")
+        .join(valid.select("order_id").distinct(), "order_id", "left_semi")
         .groupBy("product_id")
         .agg(money_sum("price").alias("price"), F.sum("items").alias("items"))
     )
