@@ -13,14 +13,17 @@ def engine():
     return check_engine(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+OWN = [*contract.NAMES, *contract.WITH_ARGUMENTS]  # the others are tested in tests/llm
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_same_rows(spark, engine, name):
     df = contract.queries()[name](spark, SF)
     assert differences(df, engine, contract.oracle_sql()[name]) == ""
 
 
 def test_every_query_has_a_statement():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(OWN) <= set(contract.queries()) & set(contract.oracle_sql())
 
 
 def test_entry(spark):
