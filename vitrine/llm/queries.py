@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import language, mixing, pii, quality, secrets, sharding, tokens
+from vitrine.llm import decontamination, html, language, mixing, pii, quality, secrets, sharding, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,14 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op5_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +55,8 @@ QUERIES = {
     for f in (
         op1_pii,
         op2_mix_sources,
+        op3_html_text,
+        op5_benchmark_items,
         op6_quality_rules,
         op7_secrets,
         op8_shard,
