@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, html, language, mixing, pii, quality, secrets, sharding, tokens
+from vitrine.llm import decontamination, html, language, mixing, neardup, pii, quality, secrets, sharding, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op5_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -56,6 +60,7 @@ QUERIES = {
         op1_pii,
         op2_mix_sources,
         op3_html_text,
+        op4_near_duplicates,
         op5_benchmark_items,
         op6_quality_rules,
         op7_secrets,
