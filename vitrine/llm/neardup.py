@@ -30,7 +30,7 @@ SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 HOT = 0.02  # share of documents from which a shingle weighs less
-DAMPING = 0.1  # what a shingle loses that all documents have
+DAMPING = 0.02  # what a shingle loses that all documents have
 _BUCKETS = 1 << 18
 
 
