@@ -304,43 +304,68 @@ _DEFS |= {
                date_trunc('month', min(m.purchased_at))::TIMESTAMP AS cohort_month,
                count(m.order_id) > 1 AS is_repeat
         FROM stg_customers c LEFT JOIN mart_orders_wide m USING (customer_id)
+        WHERE c.customer_unique_id IS NOT NULL
         GROUP BY c.customer_unique_id""",
     "dated_orders": """
         SELECT c.customer_unique_id, m.order_id, m.recognized_revenue, m.order_month,
                min(m.order_month) OVER (PARTITION BY c.customer_unique_id) AS first_month
-        FROM mart_orders_wide m JOIN stg_customers c USING (customer_id)""",
+        FROM mart_orders_wide m JOIN stg_customers c USING (customer_id)
+        WHERE c.customer_unique_id IS NOT NULL""",
     "customer_cohorts": """
         SELECT strftime(first_month, '%Y-%m') AS cohort,
                date_diff('month', first_month, order_month) AS months_since,
                count(DISTINCT customer_unique_id) AS customers, count(order_id) AS orders,
                sum(recognized_revenue)::DECIMAL(38,3) AS revenue
         FROM dated_orders GROUP BY ALL""",
-    "category_revenue": """
-        SELECT ifnull(t.product_category_name_english, p.product_category_name) AS category,
-               sum(i.item_price)::DECIMAL(38,3) AS revenue, count(i.order_item_id) AS items_count
+    "category_sales": """
+        SELECT m.order_month, ifnull(t.english, p.original) AS category, i.item_price, i.order_item_id
         FROM stg_order_items i
-        JOIN mart_orders_wide m ON m.order_id = i.order_id
-             AND m.order_status IS DISTINCT FROM 'canceled'
-             AND m.order_status IS DISTINCT FROM 'unavailable'
-        LEFT JOIN stg_products p ON p.product_id = i.product_id
-        LEFT JOIN stg_category_translation t ON t.product_category_name = p.product_category_name
-        GROUP BY ALL""",
-    "revenue_in_range": f"""
-        SELECT month, sum(recognized_revenue)::DECIMAL(38,3) AS revenue, count(order_id) AS orders,
-               avg(recognized_revenue) FILTER (WHERE recognized_revenue > 0) AS aov
-        FROM closed_orders
-        WHERE purchased_at::DATE BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'
-        GROUP BY ALL""",
+        JOIN (SELECT order_id, min(order_month) AS order_month FROM mart_orders_wide
+              WHERE order_status IS DISTINCT FROM 'canceled' AND order_status IS DISTINCT FROM 'unavailable'
+              GROUP BY order_id) m ON m.order_id = i.order_id
+        LEFT JOIN (SELECT product_id, min(product_category_name) AS original FROM stg_products
+                   GROUP BY product_id) p ON p.product_id = i.product_id
+        LEFT JOIN (SELECT product_category_name, min(product_category_name_english) AS english
+                   FROM stg_category_translation GROUP BY product_category_name) t
+               ON t.product_category_name = p.original""",
+    "category_revenue": """
+        SELECT category, sum(item_price)::DECIMAL(38,3) AS revenue, count(order_item_id) AS items_count
+        FROM category_sales GROUP BY ALL""",
+    "category_monthly_revenue": """
+        SELECT strftime(order_month, '%Y-%m') AS month, category,
+               sum(item_price)::DECIMAL(38,3) AS revenue, count(order_item_id) AS items_count
+        FROM category_sales GROUP BY ALL""",
+    "review_candidates": """
+        SELECT r.review_id, r.order_id, o.purchased_at, o.delivered_at, r.reviewed_at,
+               ifnull(o.delivered_at <= r.reviewed_at, false) AS after_delivery,
+               abs(date_diff('day', (CASE WHEN o.delivered_at <= r.reviewed_at THEN o.delivered_at
+                                          ELSE o.purchased_at END)::DATE, r.reviewed_at::DATE)) AS days_apart
+        FROM (SELECT review_id, order_id, min(review_created_at) AS reviewed_at FROM stg_order_reviews
+              WHERE review_id IS NOT NULL AND order_id IS NOT NULL
+              GROUP BY review_id, order_id
+              QUALIFY count(*) OVER (PARTITION BY review_id) > 1) r
+        LEFT JOIN (SELECT order_id, min(order_purchase_at) AS purchased_at,
+                          min(order_delivered_customer_at) AS delivered_at
+                   FROM stg_orders GROUP BY order_id) o USING (order_id)""",
+    "review_order_match": """
+        SELECT review_id, order_id, purchased_at, delivered_at, reviewed_at, after_delivery, days_apart,
+               row_number() OVER (PARTITION BY review_id ORDER BY after_delivery DESC, days_apart NULLS LAST,
+                                  order_id) = 1 AS is_best,
+               max(after_delivery AND place = 1) OVER (PARTITION BY review_id)
+                   AND count(*) FILTER (WHERE place = 1) OVER (PARTITION BY review_id) = 1 AS is_clear
+        FROM (SELECT *, rank() OVER (PARTITION BY review_id ORDER BY after_delivery DESC,
+                                     days_apart NULLS LAST) AS place FROM review_candidates)""",
+    "state_delivery_map": """
+        SELECT c.state, d.deliveries, d.on_time_pct, d.avg_delivery_days, d.avg_delay_days, c.lat, c.lon
+        FROM state_delivery d JOIN state_centres c ON c.state = d.customer_state""",
     "leader_history": """
-        SELECT r.seller_id, m.order_id, m.purchased_at, m.order_status,
-               sum(i.item_price)::DECIMAL(38,3) AS seller_revenue,
-               count(i.order_item_id) AS seller_items,
+        SELECT s.seller_id, m.order_id, m.purchased_at, m.order_status, s.seller_revenue, s.seller_items,
                m.delivery_days, m.delay_days, m.is_on_time, m.review_score
-        FROM ranked_sellers r
-        JOIN stg_order_items i ON i.seller_id = r.seller_id
-        JOIN mart_orders_wide m ON m.order_id = i.order_id
-        WHERE r.place = 1
-        GROUP BY ALL""",
+        FROM (SELECT i.seller_id, i.order_id, sum(i.item_price)::DECIMAL(38,3) AS seller_revenue,
+                     count(i.order_item_id) AS seller_items
+              FROM ranked_sellers r JOIN stg_order_items i ON i.seller_id = r.seller_id
+              WHERE r.place = 1 GROUP BY ALL) s
+        JOIN mart_orders_wide m ON m.order_id = s.order_id""",
     "state_delivery": """
         SELECT customer_state, count(is_on_time) AS deliveries,
                round(100.0 * count(*) FILTER (WHERE is_on_time) / count(*), 1) AS on_time_pct,
@@ -373,18 +398,36 @@ _DEFS |= {
 }
 
 
+# figures over the orders bought in RANGE: the query's name, the figure's
+IN_RANGE = {
+    "revenue_in_range": "cfo_monthly_revenue",
+    "delivery_in_range": "coo_monthly_delivery",
+    "reviews_in_range": "cx_monthly_reviews",
+    "sellers_in_range": "mart_sellers_wide",
+    "state_revenue_in_range": "state_revenue",
+    "cards_in_range": "kpi_cards",
+}
+
+
 def statement(name: str) -> str:
     """The dataset's SQL, preceded by the subqueries it needs in order of use."""
+    defs = dict(_DEFS)
+    if name in IN_RANGE:
+        name = IN_RANGE[name]
+        defs["every_order"] = defs["mart_orders_wide"]
+        defs["mart_orders_wide"] = f"""
+            SELECT * FROM every_order
+            WHERE purchased_at::DATE BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'"""
     ordered: list[str] = []
 
     def visit(current: str) -> None:
-        for word in dict.fromkeys(re.findall(r"\w+", _DEFS[current])):
-            if word in _DEFS and word != current and word not in ordered:
+        for word in dict.fromkeys(re.findall(r"\w+", defs[current])):
+            if word in defs and word != current and word not in ordered:
                 visit(word)
         if current not in ordered:
             ordered.append(current)
 
     visit(name)
-    parts = [f"{d} AS ({_DEFS[d]})" for d in ordered[:-1]]
+    parts = [f"{d} AS ({defs[d]})" for d in ordered[:-1]]
     head = "WITH " + ",\n".join(parts) + "\n" if parts else ""
-    return head + _DEFS[name]
+    return head + defs[name]

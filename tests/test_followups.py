@@ -136,3 +136,73 @@ def test_correlation(spark):
     flat = spark.createDataFrame([(5, 1), (5, 2)], "review_score int, delay_days bigint")
     assert one(followups.score_delay_correlation(flat)).correlation is None
     assert one(followups.score_delay_correlation(mart.limit(0))).correlation is None
+
+
+def test_people_without_an_id_are_in_neither_figure(spark):
+    d = Datasets(
+        spark,
+        raw_layer(
+            spark,
+            orders=[order("1", customer_id="x"), order("2", customer_id="y"), order("3", customer_id=None)],
+            customers=[{"customer_id": "x", "customer_unique_id": None}, {"customer_id": "y", "customer_unique_id": "u"},
+                       {"customer_id": None, "customer_unique_id": "w"}],
+        ),
+    )
+    got = {r.customer_unique_id: r.total_orders for r in d.mart_customers_wide.collect()}
+    assert got == {"u": 1, "w": 0}
+    assert one(d.customer_cohorts).customers == 1
+
+
+def test_repeated_products_and_categories_do_not_multiply_revenue(spark):
+    d = Datasets(
+        spark,
+        raw_layer(
+            spark,
+            orders=[order("1"), order("2", order_purchase_timestamp="2017-04-02 00:00:00")],
+            order_items=[item("1", "s", 10.0), item("2", "s", 4.0)],
+            products=[{"product_id": "p", "product_category_name": c} for c in ("b", "a")],
+            category_translation=[{"product_category_name": "a", "product_category_name_english": e} for e in ("Z", "A")],
+        ),
+    )
+    assert tuple(one(d.category_revenue)) == ("A", Decimal("14.000"), 2)
+    assert sorted((r.month, r.category, r.revenue) for r in d.category_monthly_revenue.collect()) == [
+        ("2017-03", "A", Decimal("10.000")), ("2017-04", "A", Decimal("4.000"))]
+
+
+def test_repeated_review_goes_to_the_order_delivered_last_before_it(spark):
+    made = {"review_creation_date": "2017-03-12 00:00:00"}
+
+    def at(key, delivered, bought="2017-03-01 00:00:00"):
+        return order(key, order_purchase_timestamp=bought, order_delivered_customer_date=delivered)
+
+    reviews = [review(o, 5, r) | made for r, os in {"r": "abc", "t": "ad", "n": "ce", "one": "a"}.items() for o in os]
+    d = Datasets(
+        spark,
+        raw_layer(
+            spark,
+            orders=[at("a", "2017-03-10 00:00:00"), at("b", "2017-03-05 00:00:00"), at("c", "2017-03-20 00:00:00"),
+                    at("d", "2017-03-10 09:00:00"), at("e", None, "2017-03-11 00:00:00")],
+            order_reviews=reviews,
+        ),
+    )
+    got = {(r.review_id, r.order_id): (r.after_delivery, r.days_apart, r.is_best, r.is_clear) for r in d.review_order_match.collect()}
+    assert got == {
+        ("r", "a"): (True, 2, True, True), ("r", "b"): (True, 7, False, True), ("r", "c"): (False, 11, False, True),
+        ("t", "a"): (True, 2, True, False), ("t", "d"): (True, 2, False, False),
+        ("n", "c"): (False, 11, False, False), ("n", "e"): (False, 1, True, False),
+    }
+
+
+def test_history_has_a_row_for_each_copy_of_an_order(spark):
+    d = Datasets(
+        spark,
+        raw_layer(
+            spark,
+            orders=[order("1"), order("1"), order("2")],
+            order_items=[item("1", "s", 10.0), item("1", "s", 5.0, 2), item("2", "s", 1.0)],
+            order_reviews=[review("1", 4), review("1", 2)],
+            sellers=[{"seller_id": "s"}],
+        ),
+    )
+    got = sorted((r.order_id, r.seller_revenue, r.review_score) for r in d.leader_history.collect())
+    assert got == [("1", Decimal("15.000"), 4)] * 2 + [("2", Decimal("1.000"), None)]

@@ -8,7 +8,7 @@ from vitrine.functions.fixed_values import RAW_FILES
 from vitrine.plans import pipeline
 from vitrine.plans.datasets import Datasets
 from vitrine.sources.marts import MartStore
-from vitrine.sources.raw import catalog, csv_folder, parquet_folder, read_csv, seed
+from vitrine.sources.raw import catalog, csv_folder, land, parquet_folder, read_csv, seed
 from vitrine.sources.schemas import ORDERS_MART, RAW, SELLERS_MART, raw_schema
 from vitrine.streaming.ingest import ingest
 
@@ -99,7 +99,7 @@ def layer(spark):
 
 def test_build_stores_what_the_plan_computes(spark, tmp_path, layer):
     raw_dir = f"{tmp_path}/raw"
-    pipeline.land(layer, raw_dir)
+    land(layer, raw_dir)
     raw = parquet_folder(spark, raw_dir)
     store = MartStore(spark, f"{tmp_path}/marts")
     built = pipeline.build(spark, raw, store)
@@ -130,8 +130,13 @@ def test_store_schemas_are_the_contract(spark, layer):
 
 def test_month_filter_prunes_partitions_of_the_stored_mart(spark, tmp_path, layer):
     store = MartStore(spark, str(tmp_path))
-    store.write_orders(Datasets(spark, layer).mart_orders_wide)
+    pipeline.build(spark, layer, store)
     d = Datasets(spark, layer, store, as_of=dt.date(2017, 4, 20))
+    april = d.between(dt.date(2017, 4, 1), dt.date(2017, 4, 30))
+    assert [r.order_id for r in april.mart_orders_wide.collect()] == ["b"]
+    plan = april.state_revenue._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("PartitionFilters: [")[1].split("]")[0].count("order_month") >= 2
+    assert one(april.mart_sellers_wide).total_orders == 1
     assert [r.month for r in d.cfo_monthly_revenue.collect()] == ["2017-03"]
     plan = d.cfo_monthly_revenue._jdf.queryExecution().executedPlan().toString()
     pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
@@ -182,3 +187,68 @@ def test_arriving_files_are_taken_once(spark, tmp_path):
     write(landing / "3.csv", header("sellers") + "\nc,1,x,SP\n")
     assert load() == ["a", "b", "c"]
     assert load() == ["a", "b", "c"]
+
+
+def test_seeded_and_arrived_rows_are_read_once_each(spark, tmp_path):
+    landing, csv, raw_dir = tmp_path / "landing", tmp_path / "csv", str(tmp_path / "raw")
+    landing.mkdir()
+    csv.mkdir()
+
+    def load():
+        ingest(spark, "sellers", str(landing), raw_dir, f"{tmp_path}/checkpoint").awaitTermination()
+
+    def reload(*ids):
+        write(csv / f"{RAW_FILES['sellers']}.csv", header("sellers") + "\n" + "".join(f"{i},1,x,SP\n" for i in ids))
+        seed(spark, str(csv), raw_dir, ["sellers"])
+
+    def rows():
+        return sorted(r.seller_id for r in parquet_folder(spark, raw_dir)("sellers").collect())
+
+    write(landing / "1.csv", header("sellers") + "\nc,1,x,SP\n")
+    load()
+    assert rows() == ["c"]  # before any seed
+    reload("a", "b")
+    assert rows() == ["a", "b", "c"]
+    write(landing / "2.csv", header("sellers") + "\nd,1,x,SP\n")
+    load()
+    load()
+    assert rows() == ["a", "b", "c", "d"]
+    reload("a")  # takes the place of the seed; files that arrived stay
+    assert rows() == ["a", "c", "d"]
+    write(landing / "3.csv", header("sellers") + "\ne,1,x,SP\n")
+    load()
+    assert rows() == ["a", "c", "d", "e"]
+
+
+def test_repeated_batch_takes_the_place_of_its_first_try(spark, tmp_path):
+    landing, raw_dir = tmp_path / "landing", str(tmp_path / "raw")
+    landing.mkdir()
+    write(landing / "1.csv", header("sellers") + "\na,1,x,SP\n")
+    ingest(spark, "sellers", str(landing), raw_dir, f"{tmp_path}/checkpoint").awaitTermination()
+    (tmp_path / "checkpoint" / "commits" / "0").unlink()  # as if the driver had died before the commit
+    for crc in (tmp_path / "checkpoint" / "commits").glob(".0.crc"):
+        crc.unlink()
+    ingest(spark, "sellers", str(landing), raw_dir, f"{tmp_path}/checkpoint").awaitTermination()
+    assert parquet_folder(spark, raw_dir)("sellers").count() == 1
+
+
+def test_failed_build_leaves_the_old_pair(spark, tmp_path, layer, monkeypatch):
+    store = MartStore(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        store.orders()
+    pipeline.build(spark, layer, store)
+    before = (store.orders().collect(), store.sellers().collect())
+
+    def die(self, mart):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr("vitrine.sources.marts.MartVersion.write_sellers", die)
+        other = raw_layer(spark, orders=[order("z")])
+        with pytest.raises(RuntimeError):
+            pipeline.build(spark, other, store)
+    assert (store.orders().collect(), store.sellers().collect()) == before
+    pipeline.build(spark, raw_layer(spark, orders=[order("z")]), store)
+    assert one(store.orders()).order_id == "z" and store.sellers().count() == 0
+    store.prune(keep=1)
+    assert len(store.published()) == 1 and one(store.orders()).order_id == "z"

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from vitrine.functions.dates import day, month_label, month_start
+from vitrine.functions.dates import calendar_days, day, month_label, month_start
 from vitrine.functions.fixed_values import UNRECOGNIZED_STATUSES
 from vitrine.functions.numeric import half_away, money_or_zero, money_sum, percent, ratio
 from vitrine.operators.kpis import satisfaction_aggregates
+from vitrine.operators.orders_mart import best_reviews, delivery_columns, plain_key
 from vitrine.operators.quality import result_row
 
 # --- quality -----------------------------------------------------------------------------------
@@ -61,20 +62,62 @@ def repeated_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
+def review_order_match(reviews: DataFrame, orders: DataFrame) -> DataFrame:
+    """For each review id under several orders its candidate orders, and which fits best.
+
+    A review is asked for after delivery. So the best candidate is the one delivered last before the
+    review was made; if none was, the one bought nearest to it. It is clear if it was delivered
+    before and no other candidate is as near in days. One row a review id and order; equal
+    candidates are ordered by id.
+    """
+    pairs = reviews.filter(F.col("review_id").isNotNull() & F.col("order_id").isNotNull())
+    pairs = pairs.groupBy("review_id", "order_id").agg(F.min("review_created_at").alias("reviewed_at"))
+    several = pairs.groupBy("review_id").agg(F.count("order_id").alias("candidates")).filter("candidates > 1")
+    own = pairs.join(plain_key(several, "review_id", "of"), F.col("review_id") == F.col("of"), "left_semi")
+    dates = orders.groupBy("order_id").agg(
+        F.min("order_purchase_at").alias("purchased_at"), F.min("order_delivered_customer_at").alias("delivered_at")
+    )
+    own = own.join(plain_key(dates, "order_id", "dated"), F.col("order_id") == F.col("dated"), "left").drop("dated")
+    before = F.coalesce(F.col("delivered_at") <= F.col("reviewed_at"), F.lit(False))
+    nearest = F.abs(calendar_days(F.when(before, F.col("delivered_at")).otherwise(F.col("purchased_at")), F.col("reviewed_at")))
+    own = own.withColumn("after_delivery", before).withColumn("days_apart", nearest)
+    rank = F.struct((~F.col("after_delivery")).alias("late"), F.coalesce("days_apart", F.lit(2**40)).alias("apart"))
+    ties = own.groupBy("review_id", rank.alias("rank")).agg(F.count("order_id").alias("n"), F.min("order_id").alias("least"))
+    best = ties.groupBy("review_id").agg(F.min(F.struct("rank", "least", "n")).alias("best"))
+    return own.join(plain_key(best, "review_id", "of"), F.col("review_id") == F.col("of")).select(
+        "review_id",
+        "order_id",
+        "purchased_at",
+        "delivered_at",
+        "reviewed_at",
+        "after_delivery",
+        "days_apart",
+        (F.col("order_id") == F.col("best.least")).alias("is_best"),
+        (~F.col("best.rank.late") & (F.col("best.n") == 1)).alias("is_clear"),
+    )
+
+
 # --- customers ---------------------------------------------------------------------------------
 
 
 def customers_mart(customers: DataFrame, orders_mart: DataFrame) -> DataFrame:
-    """One row a person: first and last purchase, cohort month, whether they came back."""
-    per_account = orders_mart.groupBy("customer_id").agg(
+    """One row a person: first and last purchase, cohort month, whether they came back.
+
+    Accounts that name no person are left out, as in the cohorts. Accounts without an id have no
+    orders and are not joined.
+    """
+    people = customers.filter(F.col("customer_unique_id").isNotNull()).select("customer_unique_id", "customer_id")
+    account = F.col("customer_id")
+    per_account = orders_mart.filter(account.isNotNull()).groupBy("customer_id").agg(
         F.count("order_id").alias("orders"),
         money_sum("recognized_revenue").alias("revenue"),
         F.min("purchased_at").alias("first"),
         F.max("purchased_at").alias("last"),
     )
     return (
-        customers.select("customer_unique_id", "customer_id")
+        people.filter(account.isNotNull())
         .join(per_account, "customer_id", "left")
+        .unionByName(people.filter(account.isNull()), allowMissingColumns=True)
         .groupBy("customer_unique_id")
         .agg(
             F.sum("orders").alias("orders"),
@@ -131,38 +174,49 @@ def customer_cohorts(customers: DataFrame, orders_mart: DataFrame) -> DataFrame:
 # --- categories --------------------------------------------------------------------------------
 
 
-def category_revenue(
-    items: DataFrame, orders_mart: DataFrame, products: DataFrame, translation: DataFrame
+def category_sales(
+    items: DataFrame, orders_mart: DataFrame, products: DataFrame, translation: DataFrame, by: list[str]
 ) -> DataFrame:
     """Item revenue by category in English, else in the original, of orders that were not called off.
 
-    Items are summed by product and order, then by product, before each join.
+    `by` adds order_month or nothing. Items are summed by product and order, then by product, before
+    each join. A product or a category that is listed twice counts once: its least name holds.
     """
     valid = orders_mart.filter(
         F.coalesce(~F.col("order_status").isin(UNRECOGNIZED_STATUSES), F.lit(True))
     )
-    sold = (
-        items.groupBy("product_id", "order_id")
-        .agg(F.sum("item_price").alias("price"), F.count("order_item_id").alias("items"))
-        .join(valid.select("order_id").distinct(), "order_id", "left_semi")
-        .groupBy("product_id")
-        .agg(money_sum("price").alias("price"), F.sum("items").alias("items"))
-    )
-    named = (
-        sold.join(products.select("product_id", "product_category_name"), "product_id", "left")
-        .groupBy("product_category_name")
-        .agg(money_sum("price").alias("price"), F.sum("items").alias("items"))
-        .join(translation, "product_category_name", "left")
+    months = [F.min(c).alias(c) for c in by]
+    valid = valid.groupBy("order_id").agg(*months) if months else valid.select("order_id").distinct()
+    category = products.groupBy("product_id").agg(F.min("product_category_name").alias("product_category_name"))
+    english = translation.groupBy("product_category_name").agg(F.min("product_category_name_english").alias("english"))
+
+    def summed(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(key, *by).agg(money_sum("price").alias("price"), F.sum("items").alias("items"))
+
+    sold = items.groupBy("product_id", "order_id").agg(
+        F.sum("item_price").alias("price"), F.count("order_item_id").alias("items")
     )
-    return (
-        named.withColumn(
-            "category", F.coalesce("product_category_name_english", "product_category_name")
-        )
-        .groupBy("category")
-        .agg(money_sum("price").alias("revenue"), F.sum("items").alias("items_count"))
+    sold = summed(sold.join(valid, "order_id"), "product_id")
+    named = summed(sold.join(category, "product_id", "left"), "product_category_name")
+    named = named.join(english, "product_category_name", "left")
+    named = named.withColumn("category", F.coalesce("english", "product_category_name"))
+    return named.groupBy("category", *by).agg(
+        money_sum("price").alias("revenue"), F.sum("items").alias("items_count")
     )
 
 
+def category_revenue(items: DataFrame, orders_mart: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
+    return category_sales(items, orders_mart, products, translation, [])
+
+
+def category_monthly_revenue(
+    items: DataFrame, orders_mart: DataFrame, products: DataFrame, translation: DataFrame
+) -> DataFrame:
+    """Category revenue by month of purchase."""
+    sales = category_sales(items, orders_mart, products, translation, ["order_month"])
+    return sales.select(month_label(F.col("order_month")).alias("month"), "category", "revenue", "items_count")
+
+
 # --- slices ------------------------------------------------------------------------------------
 
 
@@ -181,28 +235,34 @@ def purchased_between(orders_mart: DataFrame, first: dt.date, last: dt.date) ->
     )
 
 
-def seller_history(top: DataFrame, items: DataFrame, orders_mart: DataFrame) -> DataFrame:
-    """All orders of the sellers in `top`, which is a leaderboard of few rows with a seller_id."""
-    chosen = F.broadcast(top.select("seller_id").distinct())
-    sold = (
-        items.join(chosen, "seller_id", "left_semi")
-        .groupBy("seller_id", "order_id")
-        .agg(money_sum("item_price").alias("seller_revenue"), F.count("order_item_id").alias("seller_items"))
+def sold_orders(top: DataFrame, items: DataFrame) -> DataFrame:
+    """What the sellers in `top`, a leaderboard of few rows, sold: one row a seller and order."""
+    own = items.join(top.select("seller_id").distinct(), "seller_id", "left_semi")
+    return own.groupBy("seller_id", "order_id").agg(
+        money_sum("item_price").alias("seller_revenue"), F.count("order_item_id").alias("seller_items")
     )
-    return sold.join(orders_mart, "order_id").select(
-        "seller_id",
-        "order_id",
-        "purchased_at",
-        "order_status",
-        "seller_revenue",
-        "seller_items",
-        "delivery_days",
-        "delay_days",
-        "is_on_time",
-        "review_score",
+
+
+_HISTORY = ["purchased_at", "order_status"]
+_SOLD = ["seller_revenue", "seller_items"]
+_DELIVERY = ["delivery_days", "delay_days", "is_on_time"]
+
+
+def seller_history(sold: DataFrame, orders_mart: DataFrame) -> DataFrame:
+    """The sold orders in a stored mart: one row a seller and copy of an order."""
+    own = plain_key(sold, "order_id", "sold_in")
+    return orders_mart.join(own, F.col("order_id") == F.col("sold_in")).select(
+        "seller_id", "order_id", *_HISTORY, *_SOLD, *_DELIVERY, "review_score"
     )
 
 
+def seller_history_from(sold: DataFrame, orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The same from staged tables, of which only the sold orders are taken: no mart is computed."""
+    scored = best_reviews(reviews.join(sold.select("order_id").distinct(), "order_id", "left_semi"))
+    bought = orders.select("order_id", F.col("order_purchase_at").alias("purchased_at"), "order_status", *delivery_columns())
+    return seller_history(sold.join(scored, "order_id", "left"), bought)
+
+
 def state_delivery(orders_mart: DataFrame) -> DataFrame:
     on_time = F.col("is_on_time")
     known = orders_mart.filter(on_time.isNotNull())
@@ -218,6 +278,14 @@ def state_delivery(orders_mart: DataFrame) -> DataFrame:
     )
 
 
+def state_delivery_map(states: DataFrame, centres: DataFrame) -> DataFrame:
+    """Delivery of the states that have a centre. The centres are 27 fixed rows."""
+    named = states.withColumnRenamed("customer_state", "state")
+    return named.join(F.broadcast(centres), "state").select(
+        "state", "deliveries", "on_time_pct", "avg_delivery_days", "avg_delay_days", "lat", "lon"
+    )
+
+
 # --- satisfaction and partners -----------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,19 +13,15 @@ from vitrine.functions.numeric import MONEY_SUM, money_or_zero, money_sum
 
 
 def item_totals(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
-        money_sum("item_price").alias("order_revenue"),
-        money_sum("freight_value").alias("order_freight"),
-        F.count("order_item_id").alias("items_count"),
-    )
+    return items.groupBy("order_id").agg(*_totals("items"))
 
 
 def payment_totals(payments: DataFrame) -> DataFrame:
-    return payments.groupBy("order_id").agg(money_sum("payment_value").alias("total_payment"))
+    return payments.groupBy("order_id").agg(*_totals("payments"))
 
 
 def best_reviews(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy("order_id").agg(F.max("review_score").alias("review_score"))
+    return reviews.groupBy("order_id").agg(*_totals("reviews"))
 
 
 def delivery_columns() -> list[Column]:
@@ -61,54 +57,70 @@ def recognized(payment: Column) -> Column:
 
 
 def recognized_revenue(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    return orders.join(payment_totals(payments), "order_id", "left").select(
+    return with_totals(orders, payments=payments).select(
         "order_id", "order_status", recognized(F.col("total_payment"))
     )
 
 
-def _with_totals(
-    orders: DataFrame,
-    parts: list[DataFrame],
-    lookup: Callable[[DataFrame], DataFrame] = lambda totals: totals,
-) -> DataFrame:
-    items, payments, reviews = parts
-    for totals in (item_totals(items), payment_totals(payments), best_reviews(reviews)):
-        orders = orders.join(lookup(totals), "order_id", "left")
-    return orders
+# what each table is read for
+_SUMMED = {
+    "items": ["item_price", "freight_value", "order_item_id"],
+    "payments": ["payment_value"],
+    "reviews": ["review_score"],
+}
+
 
+def _totals(name: str) -> list[Column]:
+    if name == "items":
+        return [
+            money_sum("item_price").alias("order_revenue"),
+            money_sum("freight_value").alias("order_freight"),
+            F.count("order_item_id").alias("items_count"),
+        ]
+    if name == "payments":
+        return [money_sum("payment_value").alias("total_payment")]
+    return [F.max("review_score").alias("review_score")]
 
-def orders_with_totals(
-    orders: DataFrame, parts: list[DataFrame], hot_orders: Sequence[str] = ()
-) -> DataFrame:
-    """Orders with the totals of `parts` (items, payments, reviews).
 
-    The totals come out of their aggregation partitioned by order_id, so the joins move only the
-    orders, once. They stay three joins because a query that needs no item, payment or review
-    column then loses that join altogether: Catalyst knows that the totals' key is unique.
+def plain_key(df: DataFrame, key: str, name: str) -> DataFrame:
+    """`df` with `key` as a new column `name` that is not known to be what it is partitioned by.
 
-    `hot_orders` (see hot_keys) are ids with so many copies that one task could not join them.
-    Their totals are one row an id, under a thousand rows, and are broadcast, so that the copies
-    stay where they are. Orders without an id match nothing and take the same way.
+    A join on it then has a plain shuffle on this side too, which is the form in which adaptive
+    execution splits a hot key of the other side.
     """
-    if not hot_orders:
-        return _with_totals(orders, parts)
-    hot = F.col("order_id").isin(list(hot_orders))
-    hot_or_null = F.coalesce(hot, F.lit(True))
-    return _with_totals(orders.filter(~hot_or_null), parts).unionByName(
-        _with_totals(orders.filter(hot_or_null), [p.filter(hot) for p in parts], F.broadcast)
-    )
+    return df.withColumn(name, F.concat(F.col(key), F.lit(""))).drop(key)
+
+
+def order_totals(**parts: DataFrame) -> DataFrame:
+    """One row an order id with the totals of items, payments and reviews, of those that are given.
+
+    The tables are stacked before they are summed, so that one shuffle of partial sums serves all.
+    """
+    stacked = [df.select("order_id", *_SUMMED[name]) for name, df in parts.items()]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
+    sums = [column for name in parts for column in _totals(name)]
+    return rows.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(*sums)
+
+
+def with_totals(orders: DataFrame, **parts: DataFrame) -> DataFrame:
+    """Every row of `orders` with the totals of its id.
+
+    One join, with a plain shuffle on either side, so copies of an id are split however many there
+    are. Orders without an id match nothing and are not joined at all.
+    """
+    if not parts:
+        return orders
+    totals = plain_key(order_totals(**parts), "order_id", "totals_of")
+    known = orders.filter(F.col("order_id").isNotNull())
+    known = known.join(totals, F.col("order_id") == F.col("totals_of"), "left").drop("totals_of")
+    missing = [F.lit(None).cast(t).alias(c) for c, t in known.dtypes if c not in orders.columns]
+    return known.unionByName(orders.filter(F.col("order_id").isNull()).select("*", *missing))
 
 
-def orders_mart(
-    orders: DataFrame,
-    items: DataFrame,
-    payments: DataFrame,
-    customers: DataFrame,
-    reviews: DataFrame,
-    hot_orders: Sequence[str] = (),
-) -> DataFrame:
-    """Left joins only, so each order stays exactly once while the key of `customers` is unique.
+def orders_mart(orders: DataFrame, customers: DataFrame, **parts: DataFrame) -> DataFrame:
+    """The orders mart with the columns that the given `parts` (items, payments, reviews) fill.
 
+    Left joins only, so each order stays exactly once while the key of `customers` is unique.
     Customers come last; their join keeps a shuffle on either side, which is the form in which
     adaptive execution splits a customer with very many orders.
     """
@@ -117,8 +129,17 @@ def orders_mart(
         F.col("city").alias("customer_city"),
         F.col("state").alias("customer_state"),
     )
+    items, payments, count, revenue, reviews = [], [], [], [], []
+    if "items" in parts:
+        items = [money_or_zero(c).alias(c) for c in ("order_revenue", "order_freight")]
+        count = [F.coalesce("items_count", F.lit(0).cast("long")).alias("items_count")]
+    if "payments" in parts:
+        payments = [money_or_zero("total_payment").alias("total_payment")]
+        revenue = [recognized(F.col("total_payment"))]
+    if "reviews" in parts:
+        reviews = [F.col("review_score")]
     return (
-        orders_with_totals(orders, [items, payments, reviews], hot_orders)
+        with_totals(orders, **parts)
         .join(places, "customer_id", "left")
         .select(
             "order_id",
@@ -129,13 +150,12 @@ def orders_mart(
             F.col("order_estimated_delivery_at").alias("estimated_delivery_at"),
             "order_status",
             *delivery_columns(),
-            money_or_zero("order_revenue").alias("order_revenue"),
-            money_or_zero("order_freight").alias("order_freight"),
-            money_or_zero("total_payment").alias("total_payment"),
-            F.coalesce("items_count", F.lit(0).cast("long")).alias("items_count"),
-            recognized(F.col("total_payment")),
+            *items,
+            *payments,
+            *count,
+            *revenue,
             "customer_city",
             "customer_state",
-            "review_score",
+            *reviews,
         )
     )

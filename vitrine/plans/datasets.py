@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
-from functools import cached_property
+from collections.abc import Iterable
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,7 +19,8 @@ class Datasets:
     """Lazy datasets over one raw layer.
 
     With a `store` the marts are read from it, as a dashboard does; without one they are part of
-    the plan, and Catalyst drops whatever a query does not need of them.
+    the plan, as far as a figure needs them. `days` (first, last) keeps to the orders bought in a
+    range of days; the sellers mart is then computed over those.
     """
 
     def __init__(
@@ -29,12 +30,13 @@ class Datasets:
         store: MartStore | None = None,
         as_of: dt.date | None = None,
         exclude_years: Iterable[int] = INCOMPLETE_YEARS,
-        hot_orders: Sequence[str] = (),
+        days: tuple[dt.date, dt.date] | None = None,
     ):
         self.spark = spark
         self.raw = raw
         self.store = store
-        self.hot_orders = hot_orders
+        self.days = days
+        self.orders_with = cache(self._orders_with)
         self.window = {"as_of": as_of, "exclude_years": tuple(exclude_years)}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -102,26 +104,30 @@ class Datasets:
     def recognized_revenue(self) -> DataFrame:
         return orders_mart.recognized_revenue(self.stg_orders, self.stg_order_payments)
 
-    @cached_property
-    def mart_orders_wide(self) -> DataFrame:
+    def _orders_with(self, *totals: str) -> DataFrame:
+        """The orders mart with the columns that these totals fill (items, payments, reviews)."""
         if self.store:
-            return self.store.orders()
-        return orders_mart.orders_mart(
-            self.stg_orders,
-            self.stg_order_items,
-            self.stg_order_payments,
-            self.stg_customers,
-            self.stg_order_reviews,
-            self.hot_orders,
-        )
+            mart = self.store.orders()
+        else:
+            tables = {
+                "items": lambda: self.stg_order_items,
+                "payments": lambda: self.stg_order_payments,
+                "reviews": lambda: self.stg_order_reviews,
+            }
+            mart = orders_mart.orders_mart(self.stg_orders, self.stg_customers, **{t: tables[t]() for t in totals})
+        return followups.purchased_between(mart, *self.days) if self.days else mart
+
+    @property
+    def mart_orders_wide(self) -> DataFrame:
+        return self.orders_with("items", "payments", "reviews")
 
     @cached_property
     def seller_orders(self) -> DataFrame:
-        return sellers_mart.seller_orders(self.stg_order_items, self.mart_orders_wide)
+        return sellers_mart.seller_orders(self.stg_order_items, self.orders_with("reviews"))
 
     @cached_property
     def mart_sellers_wide(self) -> DataFrame:
-        if self.store:
+        if self.store and not self.days:
             return self.store.sellers()
         return sellers_mart.sellers_mart(self.stg_sellers, self.seller_orders)
 
@@ -129,23 +135,23 @@ class Datasets:
 
     @cached_property
     def cfo_monthly_revenue(self) -> DataFrame:
-        return kpis.monthly_revenue(self.mart_orders_wide, **self.window)
+        return kpis.monthly_revenue(self.orders_with("payments"), **self.window)
 
     @cached_property
     def coo_monthly_delivery(self) -> DataFrame:
-        return kpis.monthly_delivery(self.mart_orders_wide, **self.window)
+        return kpis.monthly_delivery(self.orders_with(), **self.window)
 
     @cached_property
     def cx_monthly_reviews(self) -> DataFrame:
-        return kpis.monthly_reviews(self.mart_orders_wide, **self.window)
+        return kpis.monthly_reviews(self.orders_with("reviews"), **self.window)
 
     @cached_property
     def cx_review_volume(self) -> DataFrame:
-        return kpis.monthly_review_volume(self.mart_orders_wide, **self.window)
+        return kpis.monthly_review_volume(self.orders_with("reviews"), **self.window)
 
     @cached_property
     def coo_monthly_delay(self) -> DataFrame:
-        return kpis.monthly_delay(self.mart_orders_wide, **self.window)
+        return kpis.monthly_delay(self.orders_with(), **self.window)
 
     @cached_property
     def top_sellers(self) -> DataFrame:
@@ -153,7 +159,7 @@ class Datasets:
 
     @cached_property
     def state_revenue(self) -> DataFrame:
-        return kpis.state_revenue(self.mart_orders_wide)
+        return kpis.state_revenue(self.orders_with("payments"))
 
     @cached_property
     def state_revenue_map(self) -> DataFrame:
@@ -184,7 +190,7 @@ class Datasets:
     @cached_property
     def kpi_cards(self) -> DataFrame:
         return cards.kpi_cards(
-            kpis.orders_headline(self.mart_orders_wide, **self.window),
+            kpis.orders_headline(self.orders_with("payments", "reviews"), **self.window),
             kpis.sellers_headline(self.mart_sellers_wide),
         )
 
@@ -229,7 +235,7 @@ class Datasets:
     @cached_property
     def dq_relationships(self) -> DataFrame:
         test = followups.relationship_test
-        orders, sellers = self.mart_orders_wide, self.mart_sellers_wide
+        orders, sellers = self.orders_with(), self.mart_sellers_wide
         return quality.union_all(
             [
                 test(orders, "mart_orders_wide", "order_id", self.stg_orders, "order_id"),
@@ -246,50 +252,57 @@ class Datasets:
 
     @cached_property
     def mart_customers_wide(self) -> DataFrame:
-        return followups.customers_mart(self.stg_customers, self.mart_orders_wide)
+        return followups.customers_mart(self.stg_customers, self.orders_with("payments"))
 
     @cached_property
     def customer_cohorts(self) -> DataFrame:
-        return followups.customer_cohorts(self.stg_customers, self.mart_orders_wide)
+        return followups.customer_cohorts(self.stg_customers, self.orders_with("payments"))
 
     @cached_property
     def category_revenue(self) -> DataFrame:
-        return followups.category_revenue(
-            self.stg_order_items,
-            self.mart_orders_wide,
-            self.stg_products,
-            self.stg_category_translation,
-        )
+        return followups.category_revenue(*self._category_inputs())
+
+    @cached_property
+    def category_monthly_revenue(self) -> DataFrame:
+        return followups.category_monthly_revenue(*self._category_inputs())
+
+    def _category_inputs(self) -> list[DataFrame]:
+        return [self.stg_order_items, self.orders_with(), self.stg_products, self.stg_category_translation]
 
     def between(self, first: dt.date, last: dt.date) -> Datasets:
         """The same datasets over the orders bought in a range of days."""
-        sliced = Datasets(self.spark, self.raw, None, **self.window)
-        sliced.__dict__["mart_orders_wide"] = followups.purchased_between(
-            self.mart_orders_wide, first, last
-        )
-        return sliced
+        return Datasets(self.spark, self.raw, self.store, **self.window, days=(first, last))
 
     @cached_property
     def leader_history(self) -> DataFrame:
-        return followups.seller_history(
-            kpis.leaders(self.mart_sellers_wide, 1), self.stg_order_items, self.mart_orders_wide
-        )
+        sold = followups.sold_orders(kpis.leaders(self.mart_sellers_wide, 1), self.stg_order_items)
+        if self.store or self.days:
+            return followups.seller_history(sold, self.orders_with("reviews"))
+        return followups.seller_history_from(sold, self.stg_orders, self.stg_order_reviews)
+
+    @cached_property
+    def review_order_match(self) -> DataFrame:
+        return followups.review_order_match(self.stg_order_reviews, self.stg_orders)
 
     @cached_property
     def state_delivery(self) -> DataFrame:
-        return followups.state_delivery(self.mart_orders_wide)
+        return followups.state_delivery(self.orders_with())
+
+    @cached_property
+    def state_delivery_map(self) -> DataFrame:
+        return followups.state_delivery_map(self.state_delivery, state_centres(self.spark))
 
     @cached_property
     def state_satisfaction(self) -> DataFrame:
-        return followups.state_satisfaction(self.mart_orders_wide)
+        return followups.state_satisfaction(self.orders_with("reviews"))
 
     @cached_property
     def delay_by_score(self) -> DataFrame:
-        return followups.delay_by_score(self.mart_orders_wide)
+        return followups.delay_by_score(self.orders_with("reviews"))
 
     @cached_property
     def score_delay_correlation(self) -> DataFrame:
-        return followups.score_delay_correlation(self.mart_orders_wide)
+        return followups.score_delay_correlation(self.orders_with("reviews"))
 
     def underperforming_sellers(self, least_on_time: float, least_score: float) -> DataFrame:
         return followups.underperforming_sellers(self.mart_sellers_wide, least_on_time, least_score)

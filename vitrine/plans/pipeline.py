@@ -6,32 +6,26 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.functions.fixed_values import RAW_FILES
-from vitrine.operators.skew import hot_keys
+from vitrine.operators import sellers_mart
 from vitrine.plans.datasets import Datasets
 from vitrine.session import build_session, shared_folder
 from vitrine.sources.marts import MartStore
-from vitrine.sources.raw import RawReader, parquet_folder, seed
-
-
-def land(raw: RawReader, folder: str) -> None:
-    """Write every raw table as parquet: splittable, columnar, read many times."""
-    for table, file in RAW_FILES.items():
-        raw(table).write.mode("overwrite").parquet(f"{folder}/{file}")
+from vitrine.sources.raw import RawReader, land, parquet_folder, seed
 
 
 def build(spark: SparkSession, raw: RawReader, store: MartStore) -> Datasets:
     """Full refresh of both marts.
 
     The orders mart is written first and the sellers mart reads it back, so its joins run once
-    and a lost executor never recomputes more than one of the two. The old files are gone
-    afterwards: go on with the datasets returned here.
+    and a lost executor never recomputes more than one of the two. Both are published together
+    when they are whole; until then readers have the old pair.
     """
-    hot = hot_keys(raw("orders"), "order_id")  # none while the key is sound
-    store.write_orders(Datasets(spark, raw, hot_orders=hot).mart_orders_wide)
-    fresh = Datasets(spark, raw)
-    fresh.__dict__["mart_orders_wide"] = store.orders()
-    store.write_sellers(fresh.mart_sellers_wide)
+    version = store.new_version()
+    plain = Datasets(spark, raw)
+    version.write_orders(plain.mart_orders_wide)
+    rollup = sellers_mart.seller_orders(plain.stg_order_items, version.orders())
+    version.write_sellers(sellers_mart.sellers_mart(plain.stg_sellers, rollup))
+    store.publish(version)
     return Datasets(spark, raw, store)
 
 

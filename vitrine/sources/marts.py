@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from vitrine.sources.files import create_empty, delete, names_in
 from vitrine.sources.schemas import ORDERS_MART, SELLERS_MART
 
 ORDERS, SELLERS = "mart_orders_wide", "mart_sellers_wide"
 
 
-class MartStore:
-    """The two marts under one folder of a shared file system."""
+class MartVersion:
+    """One pair of marts in a folder of its own; nobody reads it before it is published."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
-        self.root = root.rstrip("/")
+        self.folder = folder
 
     def write_orders(self, mart: DataFrame) -> None:
         """One folder a month. The rebalance gives full-sized files and splits a hot month."""
-        (
-            mart.hint("rebalance", "order_month")
-            .write.mode("overwrite")
-            .partitionBy("order_month")
-            .parquet(f"{self.root}/{ORDERS}")
-        )
+        mart.hint("rebalance", "order_month").write.partitionBy("order_month").parquet(f"{self.folder}/{ORDERS}")
 
     def write_sellers(self, mart: DataFrame) -> None:
-        mart.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/{SELLERS}")
+        mart.hint("rebalance").write.parquet(f"{self.folder}/{SELLERS}")
 
     def orders(self) -> DataFrame:
         return self._read(ORDERS, ORDERS_MART)
@@ -38,10 +36,58 @@ class MartStore:
     def _read(self, name: str, ddl: str) -> DataFrame:
         # the schema is given because a partition folder's text would else read back zoned
         schema = StructType.fromDDL(ddl)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{name}").select(schema.names)
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}").select(schema.names)
+
+
+class MartStore:
+    """Versions of the two marts under one folder of a shared file system.
+
+    A build writes both marts to a new folder. It is published by an empty file of its name, made
+    last; readers take the last name. So they see the whole old pair or the whole new one, whatever
+    happens to a build, and what they have opened stays until it is pruned.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def published(self) -> list[str]:
+        return names_in(self.spark, f"{self.root}/published")
+
+    def new_version(self) -> MartVersion:
+        last = int(self.published()[-1].split("-")[0]) if self.published() else 0
+        return self._version(f"{last + 1:012d}-{uuid.uuid4().hex[:12]}")
+
+    def publish(self, version: MartVersion) -> None:
+        create_empty(self.spark, f"{self.root}/published/{version.folder.rsplit('/', 1)[1]}")
+
+    def prune(self, keep: int = 2) -> None:
+        """Deletes all but the last `keep` published versions. Not while a build runs."""
+        kept = self.published()[-keep:]
+        for name in self.published()[:-keep]:
+            delete(self.spark, f"{self.root}/published/{name}")
+        for name in names_in(self.spark, f"{self.root}/versions"):
+            if name not in kept:
+                delete(self.spark, f"{self.root}/versions/{name}")
+
+    def current(self) -> MartVersion:
+        names = self.published()
+        if not names:
+            raise FileNotFoundError(f"no marts are published under {self.root}")
+        return self._version(names[-1])
+
+    def _version(self, name: str) -> MartVersion:
+        return MartVersion(self.spark, f"{self.root}/versions/{name}")
+
+    def orders(self) -> DataFrame:
+        return self.current().orders()
+
+    def sellers(self) -> DataFrame:
+        return self.current().sellers()
 
     def query(self, sql: str, **values: object) -> DataFrame:
         """Read-only SQL over the marts, named {mart_orders_wide} and {mart_sellers_wide}."""
-        marts = {ORDERS: self.orders, SELLERS: self.sellers}
+        version = self.current()
+        marts = {ORDERS: version.orders, SELLERS: version.sellers}
         used = {name: read() for name, read in marts.items() if f"{{{name}}}" in sql}
         return self.spark.sql(sql, **used, **values)

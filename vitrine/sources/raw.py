@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +48,9 @@ def csv_folder(spark: SparkSession, folder: str) -> RawReader:
 
 
 def parquet_folder(spark: SparkSession, folder: str) -> RawReader:
-    """Raw tables landed as parquet, one folder a table."""
-    return lambda table: spark.read.schema(raw_schema(table)).parquet(f"{folder}/{RAW_FILES[table]}")
+    """Raw tables landed as parquet, one folder a table: what was seeded and what arrived since."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    return lambda table: reader.schema(raw_schema(table)).parquet(f"{folder}/{RAW_FILES[table]}")
 
 
 def catalog(spark: SparkSession, database: str | None = None) -> RawReader:
@@ -58,8 +59,16 @@ def catalog(spark: SparkSession, database: str | None = None) -> RawReader:
     return lambda table: spark.table(f"{prefix}{RAW_FILES[table]}")
 
 
-def seed(spark: SparkSession, csv_dir: str, raw_dir: str, tables: list[str] | None = None) -> None:
-    """Full reload of the raw layer: each CSV becomes a splittable columnar table."""
-    read = csv_folder(spark, csv_dir)
-    for table in tables or RAW_FILES:
-        read(table).write.mode("overwrite").parquet(f"{raw_dir}/{RAW_FILES[table]}")
+def land(raw: RawReader, folder: str, tables: Iterable[str] = RAW_FILES) -> None:
+    """Writes raw tables as parquet: splittable, columnar, read many times.
+
+    Takes the place of what was landed before. Rows that arrived as files (see streaming.ingest) lie
+    beside it and stay: a reload must not hold them again.
+    """
+    for table in tables:
+        raw(table).write.mode("overwrite").parquet(f"{folder}/{RAW_FILES[table]}/seed")
+
+
+def seed(spark: SparkSession, csv_dir: str, raw_dir: str, tables: Iterable[str] = RAW_FILES) -> None:
+    """Full reload of the raw layer from CSV files."""
+    land(csv_folder(spark, csv_dir), raw_dir, tables)

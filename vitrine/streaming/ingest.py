@@ -27,18 +27,24 @@ def ingest(
     checkpoint: str | None = None,
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """Append what is new to the raw table, then stop. Each file is taken exactly once.
+    """Adds what is new to the raw table, then stops. Each file is taken exactly once.
 
-    The offsets live in the shared folder, so a restarted driver goes on where it was. Run the
+    Every batch is a plain folder beside the seeded rows, named by query and batch: a batch that is
+    repeated after a failure takes the place of its first try, and a reload of the seed leaves it
+    alone. The offsets live in the shared folder, so a restarted driver goes on where it was. Run the
     build job afterwards: the marts are full-refresh tables.
     """
     checkpoint = checkpoint or f"{shared_folder(spark)}/ingest/{table}"
+    folder = f"{raw_dir}/{RAW_FILES[table]}/arrived"
+
+    def put(batch: DataFrame, number: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch.write.mode("overwrite").parquet(f"{folder}/{query}-{number}")
+
     return (
         arriving(spark, table, landing, max_files)
-        .writeStream.format("parquet")
-        .option("path", f"{raw_dir}/{RAW_FILES[table]}")
+        .writeStream.foreachBatch(put)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
