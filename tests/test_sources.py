@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 from decimal import Decimal
 
 import pytest
@@ -10,6 +11,7 @@ from vitrine.plans.datasets import Datasets
 from vitrine.sources.marts import MartStore
 from vitrine.sources.raw import catalog, csv_folder, land, parquet_folder, read_csv, seed
 from vitrine.sources.schemas import ORDERS_MART, RAW, SELLERS_MART, raw_schema
+from vitrine.sources.star_schema import star_schema
 from vitrine.streaming.ingest import ingest
 
 
@@ -252,3 +254,23 @@ def test_failed_build_leaves_the_old_pair(spark, tmp_path, layer, monkeypatch):
     assert one(store.orders()).order_id == "z" and store.sellers().count() == 0
     store.prune(keep=1)
     assert len(store.published()) == 1 and one(store.orders()).order_id == "z"
+
+
+def test_star_rows_by_hand(spark, tmp_path):
+    """Expected values written out, not taken from the statements that both engines share."""
+    at = dt.datetime(1997, 5, 1)
+    rows = [(6, 3, "F", 100.5, at), (8, 4, "O", 7.25, at), (97, 5, "P", 1.0, at)]
+    names = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+    spark.createDataFrame(rows, names).write.parquet(str(tmp_path / "orders.parquet"))
+    raw = star_schema(spark, str(tmp_path))
+    key = {k: hashlib.md5(f"o{k}".encode()).hexdigest() for k in (6, 8, 97)}
+    orders = {r.order_id: r for r in raw("orders").collect()}
+    six, eight = orders[key[6]], orders[key[8]]
+    assert (six.order_status, eight.order_status, orders[key[97]].order_status) == ("delivered", "shipped", "processing")
+    assert six.customer_id == hashlib.md5(b"c3").hexdigest()
+    assert six.order_purchase_timestamp == "1997-05-01 13:11:54"  # 6 * 7919 = 47514 seconds into the day
+    assert six.order_delivered_customer_date == "1997-05-24 06:32:54"  # 22 + 1 days and 23574 seconds on
+    assert eight.order_delivered_customer_date is None
+    assert six.order_estimated_delivery_date == "1997-05-17 00:00:00"
+    paid = sorted((r.order_id, r.payment_sequential, r.payment_type, r.payment_installments, r.payment_value) for r in raw("order_payments").collect())
+    assert paid == sorted([(key[6], 1, "credit_card", 7, 100.5), (key[6], 2, "voucher", 1, 12.5), (key[8], 1, "credit_card", 9, 7.25)])
