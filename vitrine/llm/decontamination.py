@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitrine.llm.arrays import pieces, shingle_hashes, word_hashes, words
-from vitrine.llm.storage import stored
+from vitrine.llm.storage import quoted, stored
 
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
@@ -246,7 +246,7 @@ def clean_documents(
     """The rows of `docs` in which no item is found; columns unchanged."""
     for part in _item_blocks(items, item_col, item_text, block):
         index = _indexed(docs.sparkSession, part)
-        packed = docs.select(F.struct(*docs.columns).alias("row"), F.lower(text_col).alias("text"))
+        packed = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), F.lower(text_col).alias("text"))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -8,6 +8,7 @@ rules (too few words, too much repetition).
 from __future__ import annotations
 
 import re
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -15,10 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.arrays import code_points, map_texts, pieces, shingle_hashes, sums_by, word_hashes, words
+from vitrine.llm.storage import quoted
 
 LEAST_WORDS = 20
 MOST_REPEATED = 30  # per cent of words in repeated windows
 WINDOW = 8
+LEAST_STUTTER = 8  # words of a line from which words that follow themselves are counted
 LEAST_KEPT = 50  # per cent of word characters in lines that pass
 
 _SYMBOL = np.zeros(256, bool)
@@ -26,6 +29,8 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 
 # fixed values: marks that end a sentence, also before closing quotes and brackets
 _END = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
+_SENTENCE = re.compile(r"[.!?…][\"'”’»)\]]*\s")
+LONG_LINE = 12  # words from which a line may lack an end if a sentence ends in it
 # fixed values: what stands between the links of a menu
 _BETWEEN = re.compile(r"[|»›·•]|(?<=\s)(?:>|/|-|–)(?=\s)")
 # fixed values: symbols glued to words or alone
@@ -43,7 +48,7 @@ _PRELUDE = re.compile(r"[{}|#*$%&<>»›·•~^=_\\]")
 def line_passes(line: str) -> bool:
     """True if a line (with a word) reads as text."""
     line = line.strip()
-    if not _END.search(line):
+    if not _END.search(line) and (line.count(" ") < LONG_LINE - 1 or not _SENTENCE.search(line)):
         return False
     if _PRELUDE.search(line):
         n = line.count(" ") + 1
@@ -51,6 +56,9 @@ def line_passes(line: str) -> bool:
             return False
     if line.isupper() and len(line) >= 20:
         return False
+    said = line.split()
+    if len(said) >= LEAST_STUTTER and 2 * sum(map(eq, said, said[1:])) > len(said):
+        return False
     return not _BOILERPLATE.search(line)
 
 
@@ -138,7 +146,7 @@ def good_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     n_chars, where it is there, follows the new text.
     """
     others = [c for c in docs.columns if c != text_col]
-    packed = docs.select(F.struct(*others).alias("row"), text_col)
+    packed = docs.select(F.struct(*map(quoted, others)).alias("row"), text_col)
     judged = judge(packed, ["row"], text_col).filter("kept")
     values = {c: F.col("row").getField(c) for c in others} | {text_col: F.col("clean_text")}
     if "n_chars" in others:

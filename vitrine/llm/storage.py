@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame
 
 from vitrine.session import shared_folder
 
 
+@cache
+def _local_folder() -> str:
+    local = tempfile.TemporaryDirectory(prefix="vitrine-")
+    atexit.register(local.cleanup)
+    return local.name
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read back.
 
     A lost executor then costs no more than the tasks after this point, what reads the table twice
-    does not compute it twice, and Spark knows its size when it plans a join. The machine's own
-    folder serves only where spark.checkpoint.dir is unset, that is in local tests.
+    does not compute it twice, and Spark knows its size when it plans a join. Only where
+    spark.checkpoint.dir is unset, that is in local tests, a temporary folder serves that goes with
+    the process.
     """
     spark = df.sparkSession
-    root = shared_folder(spark, os.path.join(tempfile.gettempdir(), "vitrine-shared"))
-    folder = f"{root}/{name}-{uuid.uuid4().hex}"
+    local = None if spark.conf.get("spark.checkpoint.dir", None) else _local_folder()
+    folder = f"{shared_folder(spark, local)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def quoted(name: str) -> str:
+    """A column name as a reference, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
