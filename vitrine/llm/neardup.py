@@ -9,7 +9,7 @@
    no other pairs are made. Exact weighted Jaccard similarity decides.
 4. Buckets that still hold more than one class are finished exactly: documents of different classes
    that could be similar enough share one of the shingles that come first in a common order (prefix
-   filter), and such pairs are compared too.
+   filter, rare shingles first), and such pairs are compared too.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ BANDS, ROWS = 12, 3
 HOT = 0.02  # share of documents from which a shingle weighs less
 DAMPING = 0.02  # what a shingle loses that all documents have
 _BUCKETS = 1 << 18
+_RANK_BITS = 20
 
 
 class Weights(NamedTuple):
@@ -50,9 +51,14 @@ class Weights(NamedTuple):
 
 
 def _quantiles() -> np.ndarray:
-    """Gamma(2, 1) at 2^16 even probabilities."""
-    x = np.linspace(0, 40, 4_000_001)
-    return np.interp((np.arange(1 << 16) + 0.5) / (1 << 16), 1 - (1 + x) * np.exp(-x), x)
+    """Gamma(2, 1) at 2^16 even probabilities, by bisection."""
+    p = (np.arange(1 << 16) + 0.5) / (1 << 16)
+    low, high = np.zeros(len(p)), np.full(len(p), 40.0)
+    for _ in range(60):
+        x = (low + high) / 2
+        below = 1 - (1 + x) * np.exp(-x) < p
+        low, high = np.where(below, x, low), np.where(below, high, x)
+    return x
 
 
 _gamma: list[np.ndarray] = []
@@ -216,16 +222,38 @@ def _links(pairs: DataFrame, texts: DataFrame, weights) -> DataFrame:
     return stored(joined.mapInArrow(run, "a string, b string"), "near-links")
 
 
-def prefix(profile: tuple[np.ndarray, np.ndarray], hot: np.ndarray) -> np.ndarray:
-    """Shingles of which two documents must share one to be similar enough.
+def prefix(profile: tuple[np.ndarray, np.ndarray], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of which two documents must share one to be similar enough; the weight from each on, and which are enough for the lighter one.
 
-    Hot shingles come last in the common order. What stands before the first shared one is not shared,
-    and at similarity s that is at most 1 - s of a document's weight.
+    `rank` orders shingles by bucket, rare ones first; any common order would do. At similarity s the
+    shared weight is at least s of the heavier document's and 2s / (1 + s) of the lighter one's, and
+    what stands before the first shared shingle is not shared.
     """
     shingles, weights = profile
-    order = np.lexsort((shingles, np.isin(shingles, hot)))
-    before = np.append(0.0, np.cumsum(weights[order])[:-1])
-    return shingles[order][before <= (1 - LEAST_SIMILARITY) * weights.sum() * (1 + 1e-9)]
+    order = np.lexsort((shingles, rank[(shingles >> np.uint64(64 - _RANK_BITS)).astype(np.int64)]))
+    total = weights.sum()
+    before = np.append(0.0, np.cumsum(weights[order])[:-1]) / total
+    reach = before <= (1 - LEAST_SIMILARITY) * (1 + 1e-9)
+    light = before <= (1 - 2 * LEAST_SIMILARITY / (1 + LEAST_SIMILARITY)) * (1 + 1e-9)
+    return shingles[order][reach], ((1 - before) * total)[reach], light[reach]
+
+
+def _ranks(texts: DataFrame) -> np.ndarray:
+    """How many of the texts have a shingle of each bucket: a table of fixed size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _RANK_BITS, np.int64)
+        for batch in batches:
+            for _, _, data, offsets in pieces(batch, 0):
+                shingles, _, _ = doc_shingles(data, offsets)
+                np.add.at(counts, (shingles >> np.uint64(64 - _RANK_BITS)).astype(np.int64), 1)
+        hit = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["bucket", "n"])
+
+    rows = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    rank = np.zeros(1 << _RANK_BITS, np.int64)
+    rank[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    return rank
 
 
 def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, weights) -> DataFrame:
@@ -235,30 +263,50 @@ def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, weights) -> Da
     own = stored(own.select("slot", "key", F.coalesce("label", "key").alias("class")), "near-classes")
     open_ = stored(own.groupBy("slot").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select(F.col("slot").alias("of")), "open-slots")
     keys = stored(own.join(open_, F.col("slot") == F.col("of"), "left_semi").select(F.col("key").alias("of_key"), "class").distinct(), "open-keys")
+    opened = stored(keys.join(texts.select("key", "text"), F.col("of_key") == F.col("key")).select("key", "class", "text"), "open-texts")
+    rank = texts.sparkSession.sparkContext.broadcast(_ranks(opened))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, sizes = [], []
+            parts, rests, lights, sizes = [], [], [], []
             for text in batch.column(2):
                 profile = _profile(text.as_py(), weights.value)
-                parts.append(prefix(profile, weights.value.shingles).view(np.int64))
+                part, rest, light = prefix(profile, rank.value)
+                parts.append(part.view(np.int64))
+                rests.append(rest)
+                lights.append(light)
                 sizes.append(float(profile[1].sum()))
-            offsets = np.append(0, np.cumsum([len(p) for p in parts]))
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes), lists], names=["key", "class", "weight", "prefix"])
-
-    opened = keys.join(texts.select("key", "text"), F.col("of_key") == F.col("key")).select("key", "class", "text")
-    rows = stored(opened.mapInArrow(run, "key string, class string, weight double, prefix array<long>").withColumn("shingle", F.explode("prefix")).drop("prefix"), "prefixes")
+            n = np.array([len(p) for p in parts], np.int64)
+            row = pa.array(np.repeat(np.arange(len(n)), n))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(row), batch.column(1).take(row), pa.array(np.repeat(np.array(sizes, float), n)),
+                 pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])), pa.array(np.concatenate([*rests, np.zeros(0)])), pa.array(np.concatenate([*lights, np.zeros(0, bool)]))],
+                names=["key", "class", "weight", "shingle", "rest", "light"],
+            )
+
+    rows = stored(opened.mapInArrow(run, "key string, class string, weight double, shingle long, rest double, light boolean"), "prefixes")
     shared = stored(
-        rows.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select(F.col("shingle").alias("of"), F.col("low").alias("main")), "shared-prefixes"
+        rows.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.max("light").alias("any"))
+        .filter("low <> high and any").select(F.col("shingle").alias("of"), F.col("low").alias("main")),
+        "shared-prefixes",
     )
     rows = stored(rows.join(shared, F.col("shingle") == F.col("of")).drop("of"), "shared-prefix-rows")
+    light = rows.filter("light").select(
+        F.col("key").alias("a"), F.col("class").alias("class_a"), F.col("weight").alias("weight_a"), F.col("shingle").alias("of"), F.col("main").alias("main_a"), F.col("rest").alias("rest_a")
+    )
+    heavy = rows.select(F.col("key").alias("b"), "class", "weight", "shingle", "main", "rest")
+    fits = (
+        (F.col("of") == F.col("shingle"))
+        & (F.col("class_a") != F.col("class"))
+        & (F.col("weight_a") <= F.col("weight") * (1 + 1e-9))
+        & (F.col("weight_a") >= F.col("weight") * LEAST_SIMILARITY * (1 - 1e-9))
+        # from their first shared shingle on, both must have the weight that they have to share
+        & (F.least("rest_a", "rest") >= (F.col("weight_a") + F.col("weight")) * LEAST_SIMILARITY / (1 + LEAST_SIMILARITY) * (1 - 1e-9))
+    )
     # of two classes at a shingle at least one is not its first class
-    left = rows.filter("class <> main").select(F.col("key").alias("a"), F.col("class").alias("class_a"), F.col("weight").alias("weight_a"), F.col("shingle").alias("of"))
-    right = rows.select(F.col("key").alias("b"), "class", "weight", "shingle")
-    ratio = F.least("weight_a", "weight") / F.greatest("weight_a", "weight")
-    pairs = left.join(right, (F.col("of") == F.col("shingle")) & (F.col("class_a") > F.col("class")) & (ratio >= LEAST_SIMILARITY * (1 - 1e-9)))
-    return stored(pairs.select("a", "b").distinct(), "rest-pairs")
+    pairs = light.filter("class_a <> main_a").join(heavy, fits).select("a", "b")
+    pairs = pairs.union(light.filter("class_a = main_a").join(heavy.filter("class <> main"), fits).select("a", "b"))
+    return stored(pairs.distinct(), "rest-pairs")
 
 
 # --- classes --------------------------------------------------------------------------------------
@@ -305,7 +353,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     wanted = stored(texts.select("key", "first").join(wanted, F.col("key") == F.col("of"), "left_semi"), "near-wanted")
     # one row a text; rows alike in id and text collapse
     w = wanted.select(F.col("key").alias("of"), F.col("first").alias("of_first"))
-    held = own.join(w, (own.key == w.of) & own.doc_id.eqNullSafe(w.of_first), "left_semi")
+    # the wanted texts grow with the input, so this join is the same at every size
+    held = own.join(w.hint("merge"), (own.key == w.of) & own.doc_id.eqNullSafe(w.of_first), "left_semi")
     held = stored(held.select("key", "text"), "near-held")
     if held.count() > wanted.count():
         held = stored(held.dropDuplicates(["key"]), "near-held")
