@@ -395,9 +395,10 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     k = kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
     kept = stored(k.join(copies, k["_id"].eqNullSafe(copies.doc_id) & (k["_key"] == copies.key)).select("_id", "_key", "copies"), "near-kept")
     at = (docs[id_col].eqNullSafe(F.col("_id"))) & (F.md5(docs[text_col]) == F.col("_key"))
-    once = docs.join(kept.filter("copies = 1"), at, "left_semi")
+    # what is kept grows with the input, so these joins are the same at every size
+    once = docs.join(kept.filter("copies = 1").hint("merge"), at, "left_semi")
     out = once.union(docs.filter(F.col(text_col).isNull()))
     more = kept.filter("copies > 1")
     if not more.isEmpty():
-        out = out.union(docs.join(more, at, "left_semi").dropDuplicates([id_col, text_col]))
+        out = out.union(docs.join(more.hint("merge"), at, "left_semi").dropDuplicates([id_col, text_col]))
     return out
