@@ -177,6 +177,23 @@ def test_near_copies_of_a_hub(spark):
     assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == brute_classes(rows)
 
 
+def test_families_of_three(spark):
+    pick = random.Random(3)
+    word = lambda: "".join(pick.choice("abcdefgh") for _ in range(8))
+    rows = {}
+    for k in range(120):  # the first is at 0.784 to both others, they are at 0.808 to each other
+        first = [word() for _ in range(400)]
+        second = [*first[:50], *(word() for _ in range(23)), *first[73:]]
+        third = list(second)
+        second[150:167] = [word() for _ in range(17)]
+        third[300:317] = [word() for _ in range(17)]
+        rows |= {3 * k + i: " ".join(x) for i, x in enumerate((first, second, third))}
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    wanted = brute_classes(rows)
+    assert wanted == {d: d - (d % 3 == 2) for d in rows}
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == wanted
+
+
 def test_sampling_agrees_as_often_as_sets_are_alike():
     draw = np.random.default_rng(0)
     agreed = []

@@ -7,9 +7,9 @@
 2. Consistent weighted samples are drawn for each document and banded.
 3. In a band's bucket every member is compared with the first document and with the most central one;
    no other pairs are made. Exact weighted Jaccard similarity decides.
-4. Buckets that still hold more than one class are finished exactly: documents of different classes
-   that could be similar enough share one of the shingles that come first in a common order (prefix
-   filter, rare shingles first), and such pairs are compared too.
+4. Buckets of three or more texts that still hold more than one class are finished exactly: documents of
+   different classes that could be similar enough share one of the shingles that come first in a common
+   order (prefix filter, rare shingles first), and such pairs are compared too. A bucket of two is one pair.
 """
 
 from __future__ import annotations
@@ -259,7 +259,7 @@ def _ranks(texts: DataFrame) -> np.ndarray:
 def _rest(members: DataFrame, links: DataFrame, texts: DataFrame, weights) -> DataFrame:
     """Pairs still to compare: documents of different classes in a bucket whose members were not all compared."""
     labels = stored(components(links), "near-labels")
-    own = members.filter("n > 3").select("slot", "key").join(labels, F.col("key") == F.col("node"), "left")
+    own = members.filter("n > 2").select("slot", "key").join(labels, F.col("key") == F.col("node"), "left")
     own = stored(own.select("slot", "key", F.coalesce("label", "key").alias("class")), "near-classes")
     open_ = stored(own.groupBy("slot").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high").select(F.col("slot").alias("of")), "open-slots")
     keys = stored(own.join(open_, F.col("slot") == F.col("of"), "left_semi").select(F.col("key").alias("of_key"), "class").distinct(), "open-keys")
