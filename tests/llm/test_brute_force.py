@@ -246,6 +246,33 @@ def test_changed_and_cut_items(spark):
     assert set(found) == {1, 2, 4} and found[1].first_word == 100 and found[1].similarity == 1.0
 
 
+def test_all_similar_windows_are_found():
+    draw = np.random.default_rng(7)
+    pick = lambda n: (draw.integers(0, 2**63, n).astype(np.uint64), draw.integers(2, 11, n))
+    outside = 0
+    for k in range(300):  # an item with a rewritten tail or scattered changes
+        n = int(draw.integers(14, 60))
+        item = decontamination.Item(k, *pick(n))
+        index = decontamination.Index([item])
+        parts = [pick(20), (item.hashes.copy(), item.weights.copy()), pick(20)]
+        m = int(draw.integers(1, max(2, n // 8 + 1)))
+        at = np.arange(n - m, n) if k % 3 else draw.choice(n, 1)
+        parts[1][0][at], parts[1][1][at] = pick(len(at))
+        hashes, weights = (np.concatenate([p[j] for p in parts]) for j in range(2))
+        shingles = decontamination.shingle_hashes(hashes, 5)
+        own = decontamination._shingle_weights(weights)
+        similar = [
+            (decontamination.similarity(decontamination._profile(shingles[w : w + n - 4], own[w : w + n - 4]), index.profiles[0]), -w)
+            for w in range(len(hashes) - n + 1)
+        ]
+        best, w = max(similar)
+        found = index.find(hashes, weights, shingles, index.sharing(shingles))
+        assert found == ({0: (best, -w)} if best >= decontamination.LEAST_SIMILARITY else {})
+        prints = next(decontamination.fingerprints(hashes, weights, n))[1]
+        outside += bool(found) and -w not in index.near(prints)[0]
+    assert outside > 5
+
+
 # --- quality
 
 

@@ -86,12 +86,14 @@ class Index:
     def __init__(self, items: list[Item]):
         self.items = items
         self.n_words = np.array([len(i.hashes) for i in items], np.int64)
-        self.shingles = [shingle_hashes(i.hashes, SHINGLE) for i in items]
-        self.profiles = [_profile(s, _shingle_weights(i.weights)) for s, i in zip(self.shingles, items, strict=True)]
+        self.profiles = [_profile(shingle_hashes(i.hashes, SHINGLE), _shingle_weights(i.weights)) for i in items]
+        self.shingles = [np.array(list(p), np.uint64) for p in self.profiles]
+        self.totals = np.array([sum(p.values()) for p in self.profiles], np.int64)
         flat = np.concatenate([*self.shingles, np.zeros(0, np.uint64)])
         owner = np.repeat(np.arange(len(items)), [len(s) for s in self.shingles])
         order = np.argsort(flat, kind="stable")
         self.flat, self.owner = flat[order], owner[order]
+        self.flat_weights = np.array([w for p in self.profiles for w in p.values()], np.int64)[order]
         self.may = np.zeros(1 << 20, bool)
         self.may[(flat >> np.uint64(44)).astype(np.int64)] = True
         self.prints = np.array([next(fingerprints(i.hashes, i.weights, len(i.hashes)))[1][0] for i in items], np.uint64)
@@ -110,11 +112,6 @@ class Index:
         hit[some] = self.flat[spot] == shingles[some]
         return hit
 
-    def owners(self, shingles: np.ndarray) -> np.ndarray:
-        """Items that have one of the shingles."""
-        a, b = np.searchsorted(self.flat, shingles, "left"), np.searchsorted(self.flat, shingles, "right")
-        return np.unique(np.concatenate([self.owner[x:y] for x, y in zip(a, b, strict=True)] or [np.zeros(0, np.int64)]))
-
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) of all fingerprints within the radius."""
         pairs = []
@@ -128,20 +125,52 @@ class Index:
         close = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
         return window[close], item[close]
 
+    def possible(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Items of which a document with these shingles and weights has enough weight to be similar."""
+        own, at = np.unique(shingles, return_inverse=True)
+        held = np.bincount(at, weights)
+        a, b = np.searchsorted(self.flat, own, "left"), np.searchsorted(self.flat, own, "right")
+        spot = np.repeat(a - np.append(0, np.cumsum(b - a)[:-1]), b - a) + np.arange((b - a).sum())
+        shared = np.bincount(self.owner[spot], np.minimum(self.flat_weights[spot], np.repeat(held, b - a)), len(self.items))
+        return np.flatnonzero((shared > 0) & (shared >= LEAST_SIMILARITY * self.totals * (1 - 1e-9)))
+
     def find(self, hashes: np.ndarray, weights: np.ndarray, shingles: np.ndarray, shared: np.ndarray) -> dict[int, tuple[float, int]]:
         """item -> (similarity, first word) of its best window in a document, where that suffices."""
         found: dict[int, tuple[float, int]] = {}
         of_shingle = _shingle_weights(weights)
-        for n in np.unique(self.n_words[self.owners(np.unique(shingles[shared]))]):
+        may = self.possible(shingles[shared], of_shingle[shared])
+
+        def compare(i: int, w: int, size: int) -> None:
+            span = slice(w, w + size - SHINGLE + 1)
+            s = similarity(_profile(shingles[span], of_shingle[span]), self.profiles[i])
+            best, at = found.get(i, (0.0, 0))
+            if s >= LEAST_SIMILARITY and (s, -w) > (best, -at):
+                found[i] = (s, w)
+
+        for n in np.unique(self.n_words[may]):
             size = min(int(n), len(hashes))
             for first, prints in fingerprints(hashes, weights, size):
                 window, item = self.near(prints)
                 for w, i in zip((window + first).tolist(), item.tolist(), strict=True):
                     if self.n_words[i] == n and shared[w : w + size - SHINGLE + 1].any():
-                        own = _profile(shingles[w : w + size - SHINGLE + 1], of_shingle[w : w + size - SHINGLE + 1])
-                        s = similarity(own, self.profiles[i])
-                        if s >= LEAST_SIMILARITY and s > found.get(i, (0.0, 0))[0]:
-                            found[i] = (s, w)
+                        compare(i, w, size)
+        # windows outside the radius: the weight of what they share bounds their similarity
+        rows = np.flatnonzero(shared)
+        total = np.append(0, np.cumsum(of_shingle))
+        for i in may.tolist():
+            size = min(int(self.n_words[i]), len(hashes))
+            span = size - SHINGLE + 1
+            mine = np.zeros(len(of_shingle), np.int64)
+            hit = rows[np.isin(shingles[rows], self.shingles[i])]
+            mine[hit] = of_shingle[hit]
+            held = np.append(0, np.cumsum(mine))
+            most = np.minimum(held[span:] - held[:-span], self.totals[i])
+            bound = most / (self.totals[i] + total[span:] - total[:-span] - most)
+            at = np.flatnonzero(bound >= found.get(i, (LEAST_SIMILARITY, 0))[0])
+            for w in at[np.argsort(-bound[at], kind="stable")].tolist():
+                if i in found and (bound[w], -w) <= (found[i][0], -found[i][1]):
+                    break
+                compare(i, w, size)
         return found
 
     def batch(self, batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, dict[int, tuple[float, int]]]]:
