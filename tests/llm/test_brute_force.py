@@ -129,6 +129,17 @@ def test_unmarked_page():
     assert html.main_text(page) == f"Title <1>\n{text}.\nShort.\n{text} é."
 
 
+@pytest.mark.parametrize(
+    "opening",
+    ['<div class="post-12 post type-post tag-news">', '<div class="site has-sidebar">', '<div class="entry with-sidebar">',
+     '<div class="long-form">', '<form action="/">', '<div class="sidebar"><article>', '<div class="widget"><main>'],
+)
+def test_wrapped_pages(opening):
+    body = "A paragraph of the text, long enough to count as text and more"
+    page = f"""<body><div id="main-nav"><a href=a>A</a></div>{opening}<p>{body}.<p>{body}!<div class="post-comments">No {body}.</div></body>"""
+    assert html.main_text(page) == f"{body}.\n{body}!"
+
+
 # --- near-duplicates
 
 

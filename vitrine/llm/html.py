@@ -23,7 +23,7 @@ QUIET = 6  # lines that may stay below it inside the text
 # fixed values: elements by what they do to the text
 _SKIPPED = {
     "head", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "select", "textarea",
-    "button", "nav", "aside", "form", "dialog", "menu", "audio", "video", "title",
+    "button", "nav", "aside", "dialog", "menu", "audio", "video", "title",
 }
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -36,13 +36,20 @@ _BLOCKS = {
 # fixed values: blocks that end an open paragraph or item of their kind
 _CLOSES_P = _BLOCKS - {"body", "html", "td", "th", "tr", "li", "option"}
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-# fixed values: parts of class, id and role that name chrome
+# fixed values: words of a class, id or role that name chrome, and words that may stand beside them
+_NAMES = (
+    r"(?:ads?|advert[a-z0-9]*|adsense|banner|sponsor[a-z0-9]*|promo[a-z0-9]*|nav|navbar|navigation|menu[a-z0-9]*|breadcrumbs?|sidebar|side-?bar"
+    r"|widget[a-z0-9]*|footer|masthead|topbar|toolbar|cookies?[a-z0-9]*|consent|gdpr|notices?|notification|alert|popup|modal|overlay"
+    r"|newsletter|subscribe|signup|login|comments?|commentlist|disqus|respond|repl(?:y|ies)|share|sharing|social|related|recommend[a-z0-9]*"
+    r"|pagination|pager|tags?|taglist|skip-?link|search[a-z0-9]*|form|complementary|contentinfo|toc)"
+)
+_BESIDE = (
+    r"(?:main|top|bottom|left|right|site|page|global|primary|secondary|posts?|entry|articles?|wrapper|wrap|container|inner|outer"
+    r"|list|items?|section|box|block|area|bar|links?|buttons?|row|sticky|mobile|desktop|body|header|title|user|image|text)"
+)
+# whole names only: each word between hyphens names chrome or may stand beside such a word
 _CHROME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|nav|navbar|navigation|menu\w*|breadcrumbs?|sidebar|side-?bar"
-    r"|widget\w*|footer|masthead|topbar|toolbar|cookies?\w*|consent|gdpr|notices?|notification|alert|popup|modal|overlay"
-    r"|newsletter|subscribe|signup|login|comments?|comment-?list|disqus|respond|repl(?:y|ies)|share|sharing|social|related|recommend\w*"
-    r"|pagination|pager|tags?|taglist|skip-?link|search\w*|form|complementary|contentinfo|toc)(?:$|[\s_-])",
-    re.IGNORECASE,
+    rf"(?:^|(?<=\s))(?:{_BESIDE}[_-]+)*+{_NAMES}(?:[_-]+(?:{_NAMES}|{_BESIDE}))*(?:[_-]+\d+)?(?:$|(?=\s))", re.IGNORECASE
 )
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|(?=<)|\Z)", re.DOTALL
@@ -57,12 +64,14 @@ class Line(NamedTuple):
     linked: int  # characters inside links
     chrome: bool
     inside: bool  # in an article or main element
+    wrappers: tuple[int, ...] = ()  # forms and elements of a chrome name around it
 
 
 class _Open(NamedTuple):
     tag: str
     chrome: bool
     inside: bool
+    wrappers: tuple[int, ...] = ()
 
 
 def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
@@ -72,18 +81,42 @@ def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
         return False
     if not attributes:
         return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(_CHROME.search(m[2] or m[3] or m[4] or "") for m in _NAMED.finditer(attributes))
+    return bool(_HIDDEN.search(attributes))
+
+
+def _is_wrapper(tag: str, attributes: str) -> bool:
+    """Forms and elements of a chrome name: chrome unless they hold most of the page."""
+    if tag in ("html", "body", "main", "article"):
+        return False
+    return tag == "form" or any(_CHROME.search(m[2] or m[3] or m[4] or "") for m in _NAMED.finditer(attributes))
 
 
 def lines(page: str) -> list[Line]:
-    """Blocks of a page in order: white space made single, character references decoded."""
+    """Blocks of a page in order: white space made single, character references decoded.
+
+    A form or an element of a chrome name that holds most of the text outside links is no chrome, unless
+    an article outside of it has text.
+    """
+    found = _blocks(page)
+    if not any(x.wrappers for x in found):
+        return found
+    held: dict[int, int] = {}
+    for x in found:
+        for w in x.wrappers:
+            held[w] = held.get(w, 0) + _weight(x)
+    whole = sum(map(_weight, found))
+    if any(x.inside and not x.wrappers and _weight(x) for x in found):
+        whole = 2 * whole + 1
+    return [x._replace(chrome=x.chrome or any(2 * held[w] <= whole for w in x.wrappers)) for x in found]
+
+
+def _blocks(page: str) -> list[Line]:
     out: list[Line] = []
     parts: list[str] = []
     linked = 0
     stack: list[_Open] = []
     links = 0
+    opened = 0
     at = 0
 
     def flush() -> None:
@@ -91,7 +124,7 @@ def lines(page: str) -> list[Line]:
         text = _WHITE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
             top = stack[-1] if stack else _Open("", False, False)
-            out.append(Line(text, min(linked, len(text)), top.chrome, top.inside))
+            out.append(Line(text, min(linked, len(text)), top.chrome, top.inside, top.wrappers))
         parts.clear()
         linked = 0
 
@@ -116,7 +149,7 @@ def lines(page: str) -> list[Line]:
                 flush()
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
             if depth is not None:
-                if any(s.chrome for s in stack[depth:]) or tag not in _BLOCKS:
+                if any(s.chrome or s.wrappers for s in stack[depth:]) or tag not in _BLOCKS:
                     _part(stack, depth, parts, flush)
                 del stack[depth:]
             continue
@@ -131,13 +164,18 @@ def lines(page: str) -> list[Line]:
         top = stack[-1] if stack else _Open("", False, False)
         inside = top.inside or tag in ("article", "main")
         chrome = top.chrome or _is_chrome(tag, m[3], top.inside)
-        if chrome != top.chrome:
+        wrappers = () if tag == "main" else top.wrappers
+        if not chrome and _is_wrapper(tag, m[3]):
+            opened += 1
+            wrappers += (opened,)
+        changed = chrome != top.chrome or wrappers != top.wrappers
+        if changed:
             flush()
         if tag == "a":
             links += 1
             continue
-        if tag in _BLOCKS or chrome != top.chrome or tag in _RAW:
-            stack.append(_Open(tag, chrome, inside))
+        if tag in _BLOCKS or changed or tag in _RAW:
+            stack.append(_Open(tag, chrome, inside, wrappers))
         if tag in _RAW:  # its content is no markup
             close = re.compile(rf"</{tag}\b", re.IGNORECASE).search(page, at)
             at = close.start() if close else end
@@ -147,8 +185,8 @@ def lines(page: str) -> list[Line]:
 
 def _part(stack: list[_Open], depth: int, parts: list[str], flush) -> None:
     """Text of an inline element that is chrome ends with it."""
-    before = stack[depth - 1].chrome if depth else False
-    if stack[-1].chrome != before and parts:
+    before = stack[depth - 1] if depth else _Open("", False, False)
+    if (stack[-1].chrome, stack[-1].wrappers) != (before.chrome, before.wrappers) and parts:
         flush()
 
 
