@@ -140,6 +140,15 @@ def test_wrapped_pages(opening):
     assert html.main_text(page) == f"{body}.\n{body}!"
 
 
+def test_short_lines_of_an_unmarked_page():
+    body = "A paragraph of the text, long enough to count as text and more, for it has to be the largest of this whole page"
+    items = [f"{k} g flour" for k in range(30)]
+    kept = [body, *items, body, "A line that is a link", body, *items, "Notes on it", "Short, but its window is a surge of the sum of three.", "a", "b", "c", "d"]
+    link = "<a href=x>Menu</a>"
+    page = "<body>" + f"<p>{link}" * 9 + "".join(f"<p>{f'<a href=y>{x}</a>' if 'link' in x else x}" for x in kept) + f"<p>{link}" * 9
+    assert html.main_text(page) == "\n".join(kept)
+
+
 # --- near-duplicates
 
 

@@ -2,7 +2,8 @@
 
 Markup is stripped into lines, one for each block of the page. Lines that page structure marks as
 chrome (menus, forms, adverts, comments) count nothing. Text lengths are summed over sliding windows
-of lines; where the sum surges text begins, where it dives text ends, and the lines between are kept.
+of lines; at the first surge of the sum text begins, at its last dive text ends, and all lines between
+are kept, short and linked ones too. Short lines next to either end belong to the text up to a line of links.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from vitrine.llm.arrays import map_texts
 
 WINDOW = 3  # lines of a window
 SURGE = 60  # characters of a window at which text begins
-QUIET = 6  # lines that may stay below it inside the text
 
 # fixed values: elements by what they do to the text
 _SKIPPED = {
@@ -219,15 +219,13 @@ def main_text(page: str) -> str:
     surge = 1 if marked else min(SURGE, max(sums))
     # a line belongs to the text between a surge and the dive after it
     high = [i for i in range(n) if max(sums[i : i + WINDOW]) >= surge and (weights[i] or own[i].inside)]
-    runs: list[list[int]] = []
-    for i in high:
-        if runs and (marked or i - runs[-1][1] <= QUIET):
-            runs[-1][1] = i
-        else:
-            runs.append([i, i])
-    best = max(sum(weights[a : b + 1]) for a, b in runs)
-    keep = [own[i].text for a, b in runs if own[a].inside or 4 * sum(weights[a : b + 1]) >= best for i in range(a, b + 1) if weights[i] or own[i].inside]
-    return "\n".join(keep)
+    first, last = high[0], high[-1]
+    if not marked:  # short lines around it go with the text, up to the next line of links
+        while first and weights[first - 1]:
+            first -= 1
+        while last + 1 < n and weights[last + 1]:
+            last += 1
+    return "\n".join(x.text for x in own[first : last + 1])
 
 
 def extract_text(pages: DataFrame, id_cols: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:
