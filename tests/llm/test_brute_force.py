@@ -356,6 +356,11 @@ def test_secrets(spark, texts):
         ("<credentials>Tr0ub4dor+3x</credentials>", "Tr0ub4dor+3x"),
         ('conn.setPassphrase("correct7horse8")', "correct7horse8"),
         ('config["client_pwd"] := "s3cr3tv4lue"', "s3cr3tv4lue"),
+        ("com.example." + "service." * 10 + "production.client_pwd=Zx81kk92Lq07vB", "Zx81kk92Lq07vB"),
+        ("env: DB_PWD=hunter2horse9", "hunter2horse9"),
+        ("jdbc.url=jdbc:mysql://host:3306/db?user=a&pwd=hunter2horse9", "hunter2horse9"),
+        ("jdbc.url=jdbc:mysql://host:3306/db?pwd=hunter2horse9&user=a", "hunter2horse9"),
+        ("env: k=Zx81-kk92-Lq07\nclient.privateKey = k\n", "Zx81-kk92-Lq07"),
     ],
 )
 def test_lexed_secrets(text, literal):

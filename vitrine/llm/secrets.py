@@ -44,14 +44,16 @@ PLACEHOLDER = re.compile(
 
 _LITERAL = r"""(?:"(?P<dq{0}>[^"\n]*)"|'(?P<sq{0}>[^'\n]*)'|`(?P<bq{0}>[^`\n]*)`|(?P<bare{0}>[^\s"'`,;(){{}}\[\]<>]+))"""
 _PAIR = re.compile(  # name = literal, "name": literal, name["key"] := literal, --name literal
-    r"""(?<![\w.$-])(?:--)?["']?(?P<name>[A-Za-z_$][\w.$-]{0,63})["']?(?:\[["'](?P<sub>[\w.-]{1,64})["']\])?"""
+    r"""(?<![\w.$-])(?:--)?["']?(?P<name>[A-Za-z_$][\w.$-]*+)["']?(?:\[["'](?P<sub>[\w.-]++)["']\])?"""
     r"""(?:[ \t]*(?::=|=>|=|:)[ \t]*)""" + _LITERAL.format("")
 )
 _CALL = re.compile(  # setName(literal), put("name", literal)
-    r"""\b(?:set(?P<setter>[A-Z]\w{0,63})\(|\w{1,32}\(\s*["'](?P<key>[\w.-]{1,64})["']\s*,)\s*""" + _LITERAL.format("")
+    r"""\b(?:set(?P<setter>[A-Z]\w*+)\(|\w++\(\s*["'](?P<key>[\w.-]++)["']\s*,)\s*""" + _LITERAL.format("")
 )
-_TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]{0,63})>(?P<bare>[^<>\s]+)</(?P=name)>")
-_REFERENCE = re.compile(r"^\$?\{?([A-Za-z_$][\w.$-]{0,63})\}?$")
+_TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*+)>(?P<bare>[^<>\s]+)</(?P=name)>")
+# name=literal inside a bare literal, as in addresses
+_INNER = re.compile(r"(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*+)(?::=|=>|=|:)(?=[^&])")
+_REFERENCE = re.compile(r"^\$?\{?([A-Za-z_$][\w.$-]*+)\}?$")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -70,10 +72,15 @@ def base_spans(text: str) -> list[Span]:
 
 class Pair(NamedTuple):
     name: str
-    literal: str
+    text: str
     start: int
+    end: int
     quoted: bool
 
+    @property
+    def literal(self) -> str:
+        return self.text[self.start : self.end]
+
 
 def lex(text: str) -> list[Pair]:
     """Name-literal pairs in the order of the text."""
@@ -83,7 +90,15 @@ def lex(text: str) -> list[Pair]:
             parts = m.groupdict()
             name = parts.get("sub") or parts.get("name") or parts.get("setter") or parts.get("key")
             kind = next(k for k in ("dq", "sq", "bq", "bare") if parts.get(k) is not None)
-            pairs.append(Pair(name, parts[kind], m.start(kind), kind != "bare"))
+            start, end = m.span(kind)
+            pairs.append(Pair(name, text, start, end, kind != "bare"))
+            if kind == "bare" and ("=" in parts[kind] or ":" in parts[kind]):
+                stop = start
+                for inner in _INNER.finditer(text, start, end):
+                    if stop <= inner.end():
+                        stop = text.find("&", inner.end(), end)
+                        stop = end if stop < 0 else stop
+                    pairs.append(Pair(inner["name"], text, inner.end(), stop, False))
     return sorted(pairs, key=lambda p: p.start)
 
 
@@ -119,9 +134,12 @@ def lexed_spans(text: str) -> list[Span]:
             target = _REFERENCE.match(pair.literal)
             value = values.get(target[1], pair) if target else pair
         values[pair.name] = value
+        sensitive = name_score(pair.name)
+        if not sensitive:
+            continue
         if value is pair and not pair.quoted and not re.search("[0-9]", pair.literal):
             continue  # a bare word: a name not seen before, or prose
-        score = name_score(pair.name) * literal_score(value.literal)
+        score = sensitive * literal_score(value.literal)
         if score > found.get(value.start, (0, 0.0))[1]:
             found[value.start] = (value.start + len(value.literal), score)
     return [Span(start, 3, end) for start, (end, score) in found.items() if score >= LEAST_SCORE]
