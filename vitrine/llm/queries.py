@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, html, language, mixing, neardup, pii, quality, secrets, sharding, tokens
+from vitrine.llm import (
+    audit,
+    decontamination,
+    html,
+    language,
+    linededup,
+    merkle,
+    mixing,
+    neardup,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    tokens,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +68,18 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_manifest(_table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,6 +93,15 @@ QUERIES = {
         op8_shard,
         op9_count_tokens,
         op10_language,
+        op11_line_dedup,
+        op12_merkle_manifest,
+        op13_filter_audit,
     )
 }
-ORACLES = {"op2_mix_sources": mixing.MIX_SQL, "op8_shard": sharding.SHARD_SQL}
+ORACLES = {
+    "op2_mix_sources": mixing.MIX_SQL,
+    "op8_shard": sharding.SHARD_SQL,
+    "op11_line_dedup": linededup.LINES_SQL,
+    "op12_merkle_manifest": merkle.MANIFEST_SQL,
+    "op13_filter_audit": audit.AUDIT_SQL,
+}
