@@ -45,20 +45,48 @@ def seller_orders(items: DataFrame, orders_mart: DataFrame) -> DataFrame:
 _AVERAGED = ["delivery_days", "delay_days", "review_score"]
 
 
-def sellers_mart(sellers: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Every seller, also those without a delivered order.
+def seller_totals(rollup: DataFrame) -> DataFrame:
+    """One row a seller of sums and counts, which add up over any parts of the roll-up.
 
-    The roll-up is summed to one row a seller before the join: the shuffle then carries partial
-    sums, and a seller with a third of all orders weighs no more than any other.
+    How many values a sum has is kept with it, so that what no row brings is known to be missing.
     """
-    totals = rollup.groupBy("seller_id").agg(
+    return rollup.groupBy("seller_id").agg(
         F.count("order_id").alias("orders"),
         F.sum("items_count").alias("items"),
         money_sum("order_revenue").alias("revenue"),
+        F.count("order_revenue").alias("revenue_n"),
         F.sum(F.col("is_on_time").cast("long")).alias("on_time"),
+        F.count("is_on_time").alias("on_time_n"),
         *[F.sum(F.col(c).cast("long")).alias(f"{c}_sum") for c in _AVERAGED],
         *[F.count(c).alias(f"{c}_n") for c in _AVERAGED],
     )
+
+
+def changed_totals(totals: DataFrame, gone: DataFrame, come: DataFrame) -> DataFrame:
+    """Totals after some rows of the roll-up are gone and others have come. Sellers without a row drop out."""
+    names = [c for c in totals.columns if c != "seller_id"]
+    less = gone.select("seller_id", *[(-F.col(c)).alias(c) for c in names])
+    summed = (
+        totals.unionByName(less)
+        .unionByName(come)
+        .groupBy("seller_id")
+        .agg(*[F.sum(c).cast(kind).alias(c) for c, kind in totals.dtypes if c != "seller_id"])
+        .filter(F.col("orders") > 0)
+    )
+    counted = {"revenue": "revenue_n", "on_time": "on_time_n"} | {f"{c}_sum": f"{c}_n" for c in _AVERAGED}
+    return summed.withColumns({c: F.when(F.col(n) > 0, F.col(c)) for c, n in counted.items()})
+
+
+def sellers_mart(sellers: DataFrame, rollup: DataFrame) -> DataFrame:
+    """Every seller, also those without a delivered order.
+
+    The roll-up is summed to one row a seller before the join: the shuffle then carries partial
+    sums, and a seller with a third of all orders weighs no more than any other.
+    """
+    return sellers_from_totals(sellers, seller_totals(rollup))
+
+
+def sellers_from_totals(sellers: DataFrame, totals: DataFrame) -> DataFrame:
     places = sellers.select(
         "seller_id", F.col("city").alias("seller_city"), F.col("state").alias("seller_state")
     )

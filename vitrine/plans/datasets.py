@@ -12,6 +12,7 @@ from vitrine.functions.fixed_values import INCOMPLETE_YEARS, ORDER_STATUSES, REV
 from vitrine.operators import cards, followups, kpis, orders_mart, quality, sellers_mart, staging
 from vitrine.sources.marts import MartStore
 from vitrine.sources.raw import RawReader
+from vitrine.sources.readonly import read_only
 from vitrine.sources.states import state_centres
 
 
@@ -44,6 +45,11 @@ class Datasets:
             return self.raw(name.removeprefix("raw_"))
         return getattr(self, name)
 
+    def query(self, sql: str, **values: object) -> DataFrame:
+        """Read-only SQL over the marts and the staging views, each named in braces."""
+        names = [n for n in dir(type(self)) if n.startswith(("stg_", "mart_"))]
+        return read_only(self.spark, sql, {n: (lambda n=n: self[n]) for n in names}, values)
+
     # staging
 
     @cached_property

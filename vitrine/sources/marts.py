@@ -1,50 +1,106 @@
-"""Stored marts: full-refresh parquet tables that dashboards read."""
+"""Stored marts: versions that share the month folders no build has touched."""
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import asdict, dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vitrine.sources.files import create_empty, delete, names_in
-from vitrine.sources.schemas import ORDERS_MART, SELLERS_MART
+from vitrine.sources.files import create, delete, names_in, text_of
+from vitrine.sources.readonly import read_only
+from vitrine.sources.schemas import ORDERS_MART, SELLER_TOTALS, SELLERS_MART
 
-ORDERS, SELLERS = "mart_orders_wide", "mart_sellers_wide"
+ORDERS, SELLERS, TOTALS = "mart_orders_wide", "mart_sellers_wide", "seller_totals"
+_NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass
+class Manifest:
+    """What a version consists of: for each month the version that wrote it, and the raw snapshots."""
+
+    months: dict[str, str] = field(default_factory=dict)
+    sellers: str = ""
+    raw: dict[str, int] = field(default_factory=dict)
 
 
 class MartVersion:
-    """One pair of marts in a folder of its own; nobody reads it before it is published."""
+    """One pair of marts; nobody reads it before it is published.
 
-    def __init__(self, spark: SparkSession, folder: str):
+    Month folders lie under the mart, and in each a folder for every version that wrote the month. So a
+    version that changes three months writes three folders and names those of older versions for the rest.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str, manifest: Manifest | None = None):
         self.spark = spark
-        self.folder = folder
+        self.root = root
+        self.name = name
+        self.manifest = manifest or Manifest()
 
     def write_orders(self, mart: DataFrame) -> None:
         """One folder a month. The rebalance gives full-sized files and splits a hot month."""
-        mart.hint("rebalance", "order_month").write.partitionBy("order_month").parquet(f"{self.folder}/{ORDERS}")
+        folder = f"{self.root}/{ORDERS}"
+        mart.hint("rebalance", "order_month").withColumn("version", F.lit(self.name)).write.mode(
+            "append"
+        ).partitionBy("order_month", "version").parquet(folder)
+        for month in names_in(self.spark, folder):
+            if month.startswith("order_month=") and f"version={self.name}" in names_in(
+                self.spark, f"{folder}/{month}"
+            ):
+                self.manifest.months[month.removeprefix("order_month=")] = self.name
 
     def write_sellers(self, mart: DataFrame) -> None:
-        mart.hint("rebalance").write.parquet(f"{self.folder}/{SELLERS}")
+        mart.hint("rebalance").write.parquet(f"{self.root}/{SELLERS}/version={self.name}")
+        self.manifest.sellers = self.name
 
-    def orders(self) -> DataFrame:
-        return self._read(ORDERS, ORDERS_MART)
+    def write_totals(self, totals: DataFrame) -> None:
+        totals.hint("rebalance").write.parquet(f"{self.root}/{TOTALS}/version={self.name}")
+
+    def written(self) -> set[str]:
+        """The months that this version wrote itself."""
+        return {month for month, name in self.manifest.months.items() if name == self.name}
+
+    def orders(self, months: set[str] | None = None) -> DataFrame:
+        """The orders mart, or those of its months that are named as their folders are."""
+        # the schema is given because a partition folder's text would else read back zoned
+        schema = StructType.fromDDL(f"{ORDERS_MART}, version string")
+        folder = f"{self.root}/{ORDERS}"
+        paths = [
+            f"{folder}/order_month={month}/version={name}"
+            for month, name in sorted(self.manifest.months.items())
+            if months is None or month in months
+        ]
+        if not paths:
+            return self.spark.createDataFrame([], schema).drop("version")
+        reader = self.spark.read.schema(schema).option("basePath", folder)
+        return reader.parquet(*paths).select([c for c in schema.names if c != "version"])
 
     def sellers(self) -> DataFrame:
         return self._read(SELLERS, SELLERS_MART)
 
-    def _read(self, name: str, ddl: str) -> DataFrame:
-        # the schema is given because a partition folder's text would else read back zoned
+    def totals(self) -> DataFrame:
+        return self._read(TOTALS, SELLER_TOTALS)
+
+    def _read(self, mart: str, ddl: str) -> DataFrame:
         schema = StructType.fromDDL(ddl)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}").select(schema.names)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{mart}/version={self.manifest.sellers}")
+
+
+def month_of(folder: str) -> str | None:
+    """The month that a folder's name stands for, as text."""
+    return None if folder == _NO_MONTH else unquote(folder)
 
 
 class MartStore:
     """Versions of the two marts under one folder of a shared file system.
 
-    A build writes both marts to a new folder. It is published by an empty file of its name, made
-    last; readers take the last name. So they see the whole old pair or the whole new one, whatever
-    happens to a build, and what they have opened stays until it is pruned.
+    A build writes what it changes. It is published by its manifest, a small file made last; readers take
+    the last one. So they see the whole old pair or the whole new one, whatever happens to a build, and
+    what they have opened stays until it is pruned.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -52,23 +108,32 @@ class MartStore:
         self.root = root.rstrip("/")
 
     def published(self) -> list[str]:
-        return names_in(self.spark, f"{self.root}/published")
+        return [n.removesuffix(".json") for n in names_in(self.spark, f"{self.root}/published")]
 
-    def new_version(self) -> MartVersion:
+    def new_version(self, manifest: Manifest | None = None) -> MartVersion:
+        """A version to be written, empty or starting from the folders of another."""
         last = int(self.published()[-1].split("-")[0]) if self.published() else 0
-        return self._version(f"{last + 1:012d}-{uuid.uuid4().hex[:12]}")
+        return MartVersion(self.spark, self.root, f"{last + 1:012d}-{uuid.uuid4().hex[:12]}", manifest)
 
     def publish(self, version: MartVersion) -> None:
-        create_empty(self.spark, f"{self.root}/published/{version.folder.rsplit('/', 1)[1]}")
+        create(self.spark, f"{self.root}/published/{version.name}.json", json.dumps(asdict(version.manifest)))
 
     def prune(self, keep: int = 2) -> None:
-        """Deletes all but the last `keep` published versions. Not while a build runs."""
-        kept = self.published()[-keep:]
-        for name in self.published()[:-keep]:
-            delete(self.spark, f"{self.root}/published/{name}")
-        for name in names_in(self.spark, f"{self.root}/versions"):
-            if name not in kept:
-                delete(self.spark, f"{self.root}/versions/{name}")
+        """Deletes all but the last `keep` versions, as far as those do not share it. Not while a build runs."""
+        names = self.published()
+        live = [self._version(n).manifest for n in names[-keep:]]
+        for name in names[:-keep]:
+            delete(self.spark, f"{self.root}/published/{name}.json")
+        for folder in names_in(self.spark, f"{self.root}/{ORDERS}"):
+            month = folder.removeprefix("order_month=")
+            self._drop(f"{ORDERS}/{folder}", {m.months.get(month) for m in live})
+        for mart in (SELLERS, TOTALS):
+            self._drop(mart, {m.sellers for m in live})
+
+    def _drop(self, folder: str, used: set[str | None]) -> None:
+        for name in names_in(self.spark, f"{self.root}/{folder}"):
+            if name.startswith("version=") and name.removeprefix("version=") not in used:
+                delete(self.spark, f"{self.root}/{folder}/{name}")
 
     def current(self) -> MartVersion:
         names = self.published()
@@ -77,7 +142,8 @@ class MartStore:
         return self._version(names[-1])
 
     def _version(self, name: str) -> MartVersion:
-        return MartVersion(self.spark, f"{self.root}/versions/{name}")
+        text = text_of(self.spark, f"{self.root}/published/{name}.json")
+        return MartVersion(self.spark, self.root, name, Manifest(**json.loads(text)))
 
     def orders(self) -> DataFrame:
         return self.current().orders()
@@ -89,5 +155,4 @@ class MartStore:
         """Read-only SQL over the marts, named {mart_orders_wide} and {mart_sellers_wide}."""
         version = self.current()
         marts = {ORDERS: version.orders, SELLERS: version.sellers}
-        used = {name: read() for name, read in marts.items() if f"{{{name}}}" in sql}
-        return self.spark.sql(sql, **used, **values)
+        return read_only(self.spark, sql, marts, values)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions.fixed_values import RAW_FILES
+from vitrine.sources import quarantine
+from vitrine.sources.keyed import KeyedTable
 from vitrine.sources.schemas import MULTILINE, raw_schema
 
 RawReader = Callable[[str], DataFrame]
@@ -48,9 +51,8 @@ def csv_folder(spark: SparkSession, folder: str) -> RawReader:
 
 
 def parquet_folder(spark: SparkSession, folder: str) -> RawReader:
-    """Raw tables landed as parquet, one folder a table: what was seeded and what arrived since."""
-    reader = spark.read.option("recursiveFileLookup", "true")
-    return lambda table: reader.schema(raw_schema(table)).parquet(f"{folder}/{RAW_FILES[table]}")
+    """Raw tables landed as parquet: what was seeded with what arrived since laid over it."""
+    return lambda table: KeyedTable(spark, folder, table).rows()
 
 
 def catalog(spark: SparkSession, database: str | None = None) -> RawReader:
@@ -62,13 +64,30 @@ def catalog(spark: SparkSession, database: str | None = None) -> RawReader:
 def land(raw: RawReader, folder: str, tables: Iterable[str] = RAW_FILES) -> None:
     """Writes raw tables as parquet: splittable, columnar, read many times.
 
-    Takes the place of what was landed before. Rows that arrived as files (see streaming.ingest) lie
-    beside it and stay: a reload must not hold them again.
+    Takes the place of what was landed before. Rows that arrived as files (see streaming.ingest) are
+    laid over it: a key that has arrived counts as it came last, whenever the table is landed.
     """
     for table in tables:
-        raw(table).write.mode("overwrite").parquet(f"{folder}/{RAW_FILES[table]}/seed")
+        rows = raw(table)
+        KeyedTable(rows.sparkSession, folder, table).seed(rows)
 
 
-def seed(spark: SparkSession, csv_dir: str, raw_dir: str, tables: Iterable[str] = RAW_FILES) -> None:
-    """Full reload of the raw layer from CSV files."""
-    land(csv_folder(spark, csv_dir), raw_dir, tables)
+def seed(
+    spark: SparkSession,
+    csv_dir: str,
+    raw_dir: str,
+    tables: Iterable[str] = RAW_FILES,
+    most_rejected: float | None = None,
+) -> None:
+    """Full reload of the raw layer from CSV files.
+
+    Without `most_rejected` the first bad row ends the load. With it bad rows are set aside (see
+    quarantine), and the load is refused if they are more than this share of a table.
+    """
+    if most_rejected is None:
+        land(csv_folder(spark, csv_dir), raw_dir, tables)
+        return
+    for table in tables:
+        rows = quarantine.parsed(spark, table, f"{csv_dir}/{RAW_FILES[table]}.csv")
+        accepted = quarantine.set_aside(rows, table, raw_dir, f"seed-{uuid.uuid4().hex}", most_rejected)
+        KeyedTable(spark, raw_dir, table).seed(accepted)

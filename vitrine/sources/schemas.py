@@ -42,6 +42,37 @@ RAW = {
 # other table keeps one record per line and stays splittable.
 MULTILINE = {"order_reviews"}
 
+# Text that staging reads as a time or a number: a row in which it is neither cannot be staged.
+TIMES = {
+    "orders": [
+        "order_purchase_timestamp",
+        "order_approved_at",
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+        "order_estimated_delivery_date",
+    ],
+    "order_items": ["shipping_limit_date"],
+    "order_reviews": ["review_creation_date", "review_answer_timestamp"],
+}
+NUMBERS = {
+    "order_reviews": ["review_score"],
+    "products": ["product_name_lenght", "product_description_lenght", "product_photos_qty"],
+}
+
+# What makes a row of a raw table one and the same when it arrives again. The first column decides the
+# bucket, so all that belongs to an order lies in buckets of one number. Coordinates have no identity.
+KEYS = {
+    "orders": ["order_id"],
+    "order_items": ["order_id", "order_item_id"],
+    "order_payments": ["order_id", "payment_sequential"],
+    "order_reviews": ["order_id", "review_id"],
+    "customers": ["customer_id"],
+    "sellers": ["seller_id"],
+    "products": ["product_id"],
+    "geolocation": [],
+    "category_translation": ["product_category_name"],
+}
+
 ORDERS_MART = """
     order_id string, customer_id string, purchased_at timestamp_ntz, order_month timestamp_ntz,
     delivered_at timestamp_ntz, estimated_delivery_at timestamp_ntz, order_status string,
@@ -57,5 +88,12 @@ SELLERS_MART = """
     on_time_pct double, avg_review_score double, total_reviews bigint"""
 
 
+# What the sellers mart is made of: sums and counts, which can be added to and taken from.
+SELLER_TOTALS = """
+    seller_id string, orders bigint, items bigint, revenue decimal(38,3), revenue_n bigint,
+    on_time bigint, on_time_n bigint, delivery_days_sum bigint, delivery_days_n bigint,
+    delay_days_sum bigint, delay_days_n bigint, review_score_sum bigint, review_score_n bigint"""
+
+
 def raw_schema(table: str) -> StructType:
     return StructType.fromDDL(RAW[table])
