@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -22,7 +23,7 @@ SURGE = 60  # characters of a window at which text begins
 
 # fixed values: elements by what they do to the text
 _SKIPPED = {
-    "head", "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "select", "textarea",
+    "head", "script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "select", "textarea",
     "button", "nav", "aside", "dialog", "menu", "audio", "video", "title",
 }
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp"}
@@ -52,10 +53,18 @@ _CHROME = re.compile(
     rf"(?:^|(?<=\s))(?:{_BESIDE}[_-]+)*+{_NAMES}(?:[_-]+(?:{_NAMES}|{_BESIDE}))*(?:[_-]+\d+)?(?:$|(?=\s))", re.IGNORECASE
 )
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|(?=<)|\Z)", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|(?=<)|\Z)", re.DOTALL
 )
-_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+# names of reader comments: chrome however much text they hold
+_READERS = re.compile(
+    rf"(?:^|(?<=\s))(?:(?:{_BESIDE}|user|reader)[_-]+)*+(?:comments?|commentlist|disqus|respond|repl(?:y|ies))"
+    rf"(?:[_-]+(?:{_NAMES}|{_BESIDE}|thread|content|meta))*(?:[_-]+\d+)?(?:$|(?=\s))",
+    re.IGNORECASE,
+)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"']++)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+# names that inside an article may mark a remark of its own, if they stand on a paragraph
+_REMARK = re.compile(r"(?:^|\s)(?:alert|notices?|notification)(?:[_-][a-z]+)*(?:$|\s)", re.IGNORECASE)
 _WHITE = re.compile(r"\s+")
 
 
@@ -63,32 +72,55 @@ class Line(NamedTuple):
     text: str
     linked: int  # characters inside links
     chrome: bool
-    inside: bool  # in an article or main element
-    wrappers: tuple[int, ...] = ()  # forms and elements of a chrome name around it
+    region: int  # the outermost article or main element around it, counted from 1; 0 outside
+    wrapper: int  # the innermost form or element of a chrome name around it, counted from 1
 
 
 class _Open(NamedTuple):
     tag: str
     chrome: bool
-    inside: bool
-    wrappers: tuple[int, ...] = ()
+    region: int
+    wrapper: int
+
+
+_PAGE = _Open("", False, 0, 0)
+_NEVER = ("html", "body", "main")
+
 
+def _attributes(text: str) -> dict[str, str]:
+    """Names in lower case; the first of a repeated one counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
 
-def _is_chrome(tag: str, attributes: str, inside: bool) -> bool:
+
+def _is_chrome(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     if tag in _SKIPPED or (tag == "footer") or (tag == "header" and not inside):
         return True
-    if tag in ("html", "body", "main", "article"):
+    if tag in _NEVER or not attributes:
         return False
-    if not attributes:
+    if any(_READERS.search(attributes.get(a, "")) for a in ("class", "id")):
+        return True
+    if tag == "article":
         return False
-    return bool(_HIDDEN.search(attributes))
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NO_DISPLAY.search(attributes.get("style", "")))
+    )
 
 
-def _is_wrapper(tag: str, attributes: str) -> bool:
+def _is_wrapper(tag: str, attributes: dict[str, str], inside: bool) -> bool:
     """Forms and elements of a chrome name: chrome unless they hold most of the page."""
-    if tag in ("html", "body", "main", "article"):
+    if tag in _NEVER or tag == "article":
+        return False
+    if tag == "form":
+        return True
+    names = [attributes.get(a, "") for a in ("class", "id", "role")]
+    if inside and tag == "p" and _REMARK.search(names[0]):
         return False
-    return tag == "form" or any(_CHROME.search(m[2] or m[3] or m[4] or "") for m in _NAMED.finditer(attributes))
+    return any(n and _CHROME.search(n) for n in names)
 
 
 def lines(page: str) -> list[Line]:
@@ -97,37 +129,44 @@ def lines(page: str) -> list[Line]:
     A form or an element of a chrome name that holds most of the text outside links is no chrome, unless
     an article outside of it has text.
     """
-    found = _blocks(page)
-    if not any(x.wrappers for x in found):
+    found, around = _blocks(page)
+    if len(around) == 1:
         return found
-    held: dict[int, int] = {}
+    held = [0] * len(around)
     for x in found:
-        for w in x.wrappers:
-            held[w] = held.get(w, 0) + _weight(x)
-    whole = sum(map(_weight, found))
-    if any(x.inside and not x.wrappers and _weight(x) for x in found):
+        held[x.wrapper] += _weight(x)
+    for w in range(len(around) - 1, 0, -1):  # what is opened later lies inside or beside
+        held[around[w]] += held[w]
+    whole = held[0]
+    if any(x.region and not x.wrapper and _weight(x) for x in found):
         whole = 2 * whole + 1
-    return [x._replace(chrome=x.chrome or any(2 * held[w] <= whole for w in x.wrappers)) for x in found]
+    chrome = [False] * len(around)
+    for w in range(1, len(around)):
+        chrome[w] = chrome[around[w]] or 2 * held[w] <= whole
+    return [x._replace(chrome=x.chrome or chrome[x.wrapper]) for x in found]
 
 
-def _blocks(page: str) -> list[Line]:
+def _blocks(page: str) -> tuple[list[Line], list[int]]:
+    """The blocks, and for every wrapper the one around it (0: none)."""
     out: list[Line] = []
+    around = [0]
     parts: list[str] = []
-    linked = 0
+    linked = links = regions = at = 0
     stack: list[_Open] = []
-    links = 0
-    opened = 0
-    at = 0
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
         nonlocal linked
         text = _WHITE.sub(" ", html.unescape("".join(parts))).strip()
         if text:
-            top = stack[-1] if stack else _Open("", False, False)
-            out.append(Line(text, min(linked, len(text)), top.chrome, top.inside, top.wrappers))
+            top = stack[-1] if stack else _PAGE
+            out.append(Line(text, min(linked, len(text)), top.chrome, top.region, top.wrapper))
         parts.clear()
         linked = 0
 
+    def pop() -> None:
+        opened[stack.pop().tag] -= 1
+
     end = len(page)
     while at < end:
         m = _TAG.search(page, at)
@@ -147,55 +186,53 @@ def _blocks(page: str) -> list[Line]:
                 links = max(0, links - 1)
             if tag in _BLOCKS:
                 flush()
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            if depth is not None:
-                if any(s.chrome or s.wrappers for s in stack[depth:]) or tag not in _BLOCKS:
+            if opened[tag]:  # then what is searched is closed, too
+                depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag)
+                if any(s.chrome or s.wrapper for s in stack[depth:]) or tag not in _BLOCKS:
                     _part(stack, depth, parts, flush)
-                del stack[depth:]
+                while len(stack) > depth:
+                    pop()
             continue
         if tag in _BLOCKS or tag == "br":
             flush()
         if tag in _VOID or m[3].endswith("/"):
             continue
-        if tag in _CLOSES_P:
-            _close(stack, {"p"})
-        elif tag in _SIBLINGS:
-            _close(stack, _SIBLINGS[tag])
-        top = stack[-1] if stack else _Open("", False, False)
-        inside = top.inside or tag in ("article", "main")
-        chrome = top.chrome or _is_chrome(tag, m[3], top.inside)
-        wrappers = () if tag == "main" else top.wrappers
-        if not chrome and _is_wrapper(tag, m[3]):
-            opened += 1
-            wrappers += (opened,)
-        changed = chrome != top.chrome or wrappers != top.wrappers
+        if stack and stack[-1].tag in ({"p"} if tag in _CLOSES_P else _SIBLINGS.get(tag, ())):
+            pop()  # its end tag was left out
+        top = stack[-1] if stack else _PAGE
+        region = top.region
+        if not region and tag in ("article", "main"):
+            regions += 1
+            region = regions
+        attributes = _attributes(m[3]) if m[3] else {}
+        chrome = top.chrome or _is_chrome(tag, attributes, top.region > 0)
+        wrapper = 0 if tag == "main" else top.wrapper
+        if not chrome and _is_wrapper(tag, attributes, top.region > 0):
+            around.append(wrapper)
+            wrapper = len(around) - 1
+        changed = chrome != top.chrome or wrapper != top.wrapper
         if changed:
             flush()
         if tag == "a":
             links += 1
             continue
         if tag in _BLOCKS or changed or tag in _RAW:
-            stack.append(_Open(tag, chrome, inside, wrappers))
+            stack.append(_Open(tag, chrome, region, wrapper))
+            opened[tag] += 1
         if tag in _RAW:  # its content is no markup
             close = re.compile(rf"</{tag}\b", re.IGNORECASE).search(page, at)
             at = close.start() if close else end
     flush()
-    return out
+    return out, around
 
 
 def _part(stack: list[_Open], depth: int, parts: list[str], flush) -> None:
     """Text of an inline element that is chrome ends with it."""
-    before = stack[depth - 1] if depth else _Open("", False, False)
-    if (stack[-1].chrome, stack[-1].wrappers) != (before.chrome, before.wrappers) and parts:
+    before = stack[depth - 1] if depth else _PAGE
+    if (stack[-1].chrome, stack[-1].wrapper) != (before.chrome, before.wrapper) and parts:
         flush()
 
 
-def _close(stack: list[_Open], tags: set[str]) -> None:
-    """Ends an open element whose end tag was left out, if it is the innermost block."""
-    if stack and stack[-1].tag in tags:
-        stack.pop()
-
-
 def _weight(line: Line) -> int:
     """Characters that count as text: none in chrome, and none where most of a line is links."""
     if line.chrome or 2 * line.linked > len(line.text):
@@ -203,12 +240,27 @@ def _weight(line: Line) -> int:
     return len(line.text)
 
 
+def _believed(found: list[Line]) -> tuple[list[Line], bool]:
+    """The lines of the page's articles, and true; or the lines outside of them where these are the text.
+
+    An article or main element is believed unless the text outside weighs more than four times as much:
+    then it is a teaser. Of several articles those that weigh a fourth of the largest are the text.
+    """
+    weights: dict[int, int] = {}
+    for x in found:
+        weights[x.region] = weights.get(x.region, 0) + _weight(x)
+    outside = weights.pop(0, 0)
+    best = max(weights.values(), default=0)
+    if not best:
+        return found, False
+    if outside > 4 * best:
+        return [x for x in found if not x.region], False
+    return [x for x in found if x.region and 4 * weights[x.region] >= best], True
+
+
 def main_text(page: str) -> str:
     """The kept lines of a page, joined by line feeds."""
-    found = lines(page)
-    marked = any(x.inside and _weight(x) for x in found)
-    if marked:
-        found = [x for x in found if x.inside]
+    found, marked = _believed(lines(page))
     own = [x for x in found if not x.chrome]
     weights = [_weight(x) for x in own]
     n = len(own)
@@ -218,7 +270,7 @@ def main_text(page: str) -> str:
     # where the page itself marks its article any text is a surge, elsewhere it takes some length
     surge = 1 if marked else min(SURGE, max(sums))
     # a line belongs to the text between a surge and the dive after it
-    high = [i for i in range(n) if max(sums[i : i + WINDOW]) >= surge and (weights[i] or own[i].inside)]
+    high = [i for i in range(n) if max(sums[i : i + WINDOW]) >= surge and (weights[i] or own[i].region)]
     first, last = high[0], high[-1]
     if not marked:  # short lines around it go with the text, up to the next line of links
         while first and weights[first - 1]:
