@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.hashes import BITS, PLACE_SQL, place
-from vitrine.llm.storage import stored
+from vitrine.llm.storage import quoted, stored
 
 LIMIT = 1 << 20
 FINER = 6  # bits of the first directory beyond an even split
@@ -63,13 +63,26 @@ def directory(sized: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 
 def _lookup(done: DataFrame) -> tuple[int, DataFrame]:
-    """The greatest depth, and the directory opened to one row for each prefix of the greatest depth."""
-    most = done.agg(F.max("depth")).first()[0] or 0
-    spread = F.expr(f"sequence(shiftleft(prefix, {most} - depth), shiftleft(prefix + 1, {most} - depth) - 1)")
+    """Bits of a slot, and for each slot the shards that it meets.
+
+    Slots have as many bits as an even directory of so many shards, so there are no more slots than
+    shards. A shard of fewer bits is named by all its slots, one of more bits by the slot it lies in, where
+    only documents near the limit make it stand beside others: entries are at most twice the shards.
+    """
+    bits = max(0, done.count().bit_length() - 1)
+    wide = F.col("depth") <= bits
+    spread = F.expr(f"sequence(shiftleft(prefix, {bits} - depth), shiftleft(prefix + 1, {bits} - depth) - 1)")
+    slots = F.when(wide, spread).otherwise(F.array(F.expr(f"shiftright(prefix, depth - {bits})")))
     shard_id = F.when(F.col("depth") == 0, F.lit("0")).otherwise(
         F.expr("lpad(bin(prefix), cast(depth as int), '0')")
     )
-    return most, done.withColumn("shard_id", shard_id).withColumn("_slot", F.explode(spread))
+    shard = F.struct("depth", "prefix", shard_id.alias("shard_id"), "shard_bytes", "shard_docs")
+    met = done.select(F.explode(slots).alias("_slot"), shard.alias("shard"))
+    return bits, met.groupBy("_slot").agg(F.collect_list("shard").alias("_shards"))
+
+
+#: The shard of a slot that a place lies in.
+_OWN = f"filter(_shards, s -> shiftright(_place, cast({BITS} - s.depth AS int)) = s.prefix)[0]"
 
 
 def shard(
@@ -82,10 +95,12 @@ def shard(
     document over the limit is a shard of its own. Other columns are ignored.
     """
     sized = stored(_sized(docs, id_col, text_col), "shard-sized")
-    most, lookup = _lookup(directory(sized, limit))
-    lookup = stored(lookup.drop("first", "last", "prefix"), "shard-directory")
-    return sized.join(lookup, F.shiftright("place", BITS - most) == lookup["_slot"]).select(
-        "doc_id", "bytes", "shard_id", F.col("depth").cast("int").alias("depth"), "shard_bytes", "shard_docs"
+    bits, lookup = _lookup(directory(sized, limit))
+    lookup = stored(lookup, "shard-directory")
+    placed = sized.withColumnRenamed("place", "_place")
+    met = placed.join(lookup, F.shiftright("_place", BITS - bits) == lookup["_slot"]).withColumn("_own", F.expr(_OWN))
+    return met.select(
+        "doc_id", "bytes", "_own.shard_id", F.col("_own.depth").cast("int").alias("depth"), "_own.shard_bytes", "_own.shard_docs"
     )
 
 
@@ -102,10 +117,11 @@ def sharded_documents(
 ) -> DataFrame:
     """The rows of `docs` with shard_id, shard_bytes and shard_docs (columns of these names are replaced)."""
     new = ["shard_id", "shard_bytes", "shard_docs"]
-    most, lookup = _lookup(directory(stored(_sized(docs, id_col, text_col).drop("doc_id"), "shard-sized"), limit))
-    lookup = stored(lookup.select("_slot", *new), "shard-directory")
-    kept = docs.drop(*new)
-    return kept.join(lookup, F.shiftright(place(id_col, text_col), BITS - most) == lookup["_slot"]).drop("_slot")
+    bits, lookup = _lookup(directory(stored(_sized(docs, id_col, text_col).drop("doc_id"), "shard-sized"), limit))
+    lookup = stored(lookup, "shard-directory")
+    kept = docs.drop(*new).withColumn("_place", place(id_col, text_col))
+    met = kept.join(lookup, F.shiftright("_place", BITS - bits) == lookup["_slot"]).withColumn("_own", F.expr(_OWN))
+    return met.select(*map(quoted, kept.drop("_place").columns), *[f"_own.{c}" for c in new])
 
 
 SHARD_SQL = f"""
