@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from vitrine.llm.storage import stored
 
 KINDS = ("email", "ip", "card", "phone", "context")
-ROUNDS = 3
 LEAST_KNOWN = 3  # known instances that a pattern must extract
 LEAST_SCORE = 0.7  # of a pattern
 LEAST_CONFIDENCE = 0.9  # of an instance
@@ -32,6 +31,10 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _RUN = r"[A-Za-z0-9._%+@/-]"
 _TOKEN = rf"(?<!{_RUN})(?:(?![0-9]){_RUN})*+[0-9]{_RUN}*+"
 
+# The last words of a gap, whole: they start at its start or after white space, and are read once.
+_ONE_BEFORE = r"(?<!\S)\S++\s*+$"
+_TWO_BEFORE = r"(?<!\S)\S++\s++\S++\s*+$"
+
 _BLOCK = 256
 
 
@@ -125,10 +128,9 @@ def _context(gap: Column, after: Column) -> Column:
     def plain(c: Column) -> Column:
         return F.trim(F.lower(F.regexp_replace(F.regexp_replace(c, "[0-9]", "0"), r"\s+", " ")))
 
-    tail = F.right(gap, F.lit(80))
-    two = plain(F.regexp_extract(tail, r"\S+\s+\S+\s*$", 0))
-    left = plain(F.regexp_extract(tail, r"\S+\s*$", 0))
-    right = plain(F.regexp_extract(F.left(after, F.lit(40)), r"^\s*\S+", 0))
+    two = plain(F.regexp_extract(gap, _TWO_BEFORE, 0))
+    left = plain(F.regexp_extract(gap, _ONE_BEFORE, 0))
+    right = plain(F.regexp_extract(after, r"^\s*+\S++", 0))
     return F.array(
         F.when(two != "", F.xxhash64(F.lit("before"), two)),
         F.when((left != "") & (right != ""), F.xxhash64(F.lit("around"), left, right)),
@@ -223,8 +225,12 @@ def _good_patterns(edges: DataFrame) -> DataFrame:
     )
 
 
-def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The good patterns (pattern, score) after scoring the pattern-instance graph `rounds` times."""
+def bootstrap(occurrences: DataFrame) -> DataFrame:
+    """The good patterns (pattern, score) of the pattern-instance graph, scored until nothing changes.
+
+    What is known only grows: a pattern that was good once stays among the sources of its instances, so the
+    rounds end when neither side has gained anything. Only two counts a round reach the driver.
+    """
     edges = stored(
         occurrences.select(F.explode("patterns").alias("pattern"), "instance", "seed")
         .filter("pattern is not null")
@@ -232,21 +238,25 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         .agg(F.max("seed").alias("known")),
         "pii-edges",
     )
-    current = edges
-    for k in range(rounds):
+    current, before = edges, (-1, -1)
+    while True:
         good = stored(_good_patterns(current), "pii-patterns")
-        if k == rounds - 1 or good.isEmpty():
-            break
+        n_good = good.count()
+        if not n_good:
+            return good
         doubt = F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9))))
         learned = stored(
             edges.join(good, "pattern").groupBy("instance").agg(doubt.alias("doubt"))
             .filter(F.exp("doubt") <= 1 - LEAST_CONFIDENCE).select(F.col("instance").alias("of")),
             "pii-instances",
         )
+        now = (n_good, learned.count())
+        if now == before:
+            return good
+        before = now
         current = edges.join(learned, edges.instance == learned.of, "left").select(
             "pattern", "instance", (F.col("known") | F.col("of").isNotNull()).alias("known")
         )
-    return good
 
 
 def _text_of(spans: Column) -> Column:
