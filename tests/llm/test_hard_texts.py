@@ -1,0 +1,180 @@
+"""Cases that once went wrong: pages, assignments, chains of contexts, shards near the limit."""
+
+import random
+import time
+
+import pytest
+
+from vitrine.llm import html, pii, secrets, sharding
+
+P = " ".join(["This is a sentence of the article that goes on for a while and says something."] * 5)
+C = " ".join(["Comment text by a reader which says little but is long enough."] * 3)
+
+# --- pages
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    [
+        'class="overflow-hidden"', 'class="relative overflow-hidden"', 'aria-hidden="false"', 'data-hidden="0"',
+        'class="post-12 tag-news"', 'class="site has-sidebar"', 'style="color: red"', "class='no-comments'",
+    ],
+)
+def test_names_that_hide_nothing(attributes):
+    assert html.main_text(f"<body><div {attributes}><p>{P}</p></div></body>") == P
+    assert html.main_text(f"<div {attributes}><article><p>{P}</p></article></div>") == P
+
+
+def test_what_is_hidden_goes():
+    page = f'<article><p>{P}</p><p hidden>x</p><div style="top:0; display : none">y</div><div ARIA-HIDDEN=true>z</div></article>'
+    assert html.main_text(page) == P
+
+
+def test_reader_comments_go_however_long():
+    many = "".join(f'<div class="c"><p>{C}</p></div>' for _ in range(10))
+    assert html.main_text(f'<div><p>{P}</p></div><div id="comments" class="comments">{many}</div>') == P
+    many = "".join(f'<article class="comment" id="comment-{k}"><p>{C}</p></article>' for k in range(10))
+    assert html.main_text(f"<article><p>{P}</p></article>{many}") == P
+    assert html.main_text(f'<article><p>{P}</p><section class="post-comments">{many}</section></article>') == P
+
+
+def test_teasers_are_not_the_text():
+    teaser = '<article class="card"><p>A teaser of thirty characters.</p></article>'
+    assert html.main_text(f"<div><p>{P}</p><p>{P}</p></div>{teaser}") == f"{P}\n{P}"
+    assert html.main_text(f"<article><p>{P}</p></article>{teaser}") == P
+    assert html.main_text(f"<article><p>{P}</p></article><article><p>{P}</p></article>") == f"{P}\n{P}"
+
+
+def test_formulas_and_remarks_stay():
+    page = f'<article><p>{P}</p><p>so <math><mi>x</mi></math> is known</p><p class="alert">Mind this.</p></article>'
+    assert html.main_text(page) == f"{P}\nso x is known\nMind this."
+
+
+def test_generated_pages(spark):
+    """Pages with class soup, unclosed tags, teasers and comments around blocks that are known."""
+    pick = random.Random(31)
+    soup = ["overflow-hidden", "mt-4 flex", "post-7 type-post tag-x", "has-sidebar", "long-form", "entry", ""]
+    pages = []
+    for k in range(60):
+        blocks = [f"{P} Block {k} {i}." for i in range(pick.randint(1, 5))]
+        blocks += pick.sample(["Short one.", "1 &lt; 2 &amp; so on"], pick.randint(0, 2))
+        body = "".join(f"<p>{b}" + pick.choice(["</p>", "", "</p>\n  "]) for b in blocks)
+        for _ in range(pick.randint(0, 3)):
+            body = f'<div class="{pick.choice(soup)}">{body}</div>'
+        marked = pick.random() < 0.5
+        body = f"<article>{body}</article>" if marked else body
+        if pick.random() < 0.5:
+            body = f"<form method=post>{body}</form>" if not marked else body
+        comments = "".join(f'<article class="comment"><p>{C}</p></article>' for _ in range(pick.randint(0, 9)))
+        page = f'<html><head><title>T</title></head><body><nav><a href="/">Home</a></nav>{body}<section id="comments">{comments}</section><footer>Foot</footer></body></html>'
+        pages.append((k, "u", page, "\n".join(b.replace("&lt;", "<").replace("&amp;", "&") for b in blocks)))
+    frame = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html.extract_text(frame).collect()}
+    assert [k for k, _, _, want in pages if found[k] != want] == []
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<form>" * 160_000 + P, '<div class="sidebar">' * 40_000 + P, "<div>" * 80_000 + "</p>" * 80_000, '<a "' * 200_000,
+        "<!" * 400_000, "<" * 900_000, "<!-- " * 180_000, '<div class="' + "site-" * 180_000 + '">x', "<p " + 'a="b" ' * 150_000 + ">x",
+    ],
+    ids=range(9),
+)
+def test_broken_pages_take_linear_time(page):
+    start = time.process_time()
+    html.main_text(page)
+    assert time.process_time() - start < 15
+
+
+# --- assignments
+
+LITERAL = "hunter2horse9"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "INFO: db_pwd = hunter2horse9", "config: db_pwd: hunter2horse9", "2024-01-01 INFO db: pwd = hunter2horse9",
+        'const db_pwd: string = "hunter2horse9"', 'db_pwd:str="hunter2horse9"', 'let db_pwd: &str = "hunter2horse9";',
+        'x: Optional[str] = None\ndb_pwd: Final[str] = "hunter2horse9"', '#define DB_PWD "hunter2horse9"',
+        "db_pwd: |\n  hunter2horse9\nother: x", "a:\n  db_pwd: >-\n\n    hunter2horse9\n  b: c", '<add key="db_pwd" value="hunter2horse9"/>',
+        "<add value='hunter2horse9' name='db_pwd'>", 'conn="user=a;pwd=hunter2horse9"', "db_pwd ?= hunter2horse9",
+        'db_pwd = """hunter2horse9"""', "db_pwd = '''hunter2horse9'''", 'db_pwd = LATER\nLATER = "hunter2horse9"',
+        'db_pwd = A\nA = B\nB = "hunter2horse9"', 'A = "hunter2horse9"\nB = A\ndb_pwd = B', "env: DB_PWD=hunter2horse9",
+        "jdbc.url=jdbc:mysql://h?pwd=hunter2horse9&user=a", "jdbc.url=jdbc:mysql://h?user=a&pwd=hunter2horse9",
+        r'"{\"db_pwd\": \"hunter2horse9\"}"', "--pwd=hunter2horse9", "x=1&pwd=hunter2horse9&y=2", "it's db_pwd = hunter2horse9, isn't it",
+    ],
+)
+def test_syntax_families(text):
+    at = text.index(LITERAL)
+    assert secrets.lexed_spans(text) == [secrets.Span(at, 3, at + len(LITERAL))]
+
+
+def test_escapes_and_joined_strings():
+    text = r'{"db_pwd": "hunter2\"horse9"}'
+    assert [text[s.start : s.end] for s in secrets.lexed_spans(text)] == [r"hunter2\"horse9"]
+    text = 'db_pwd = "hunter2" +\n  "horse9xyz"'
+    assert secrets.lexed_spans(text) == [secrets.Span(10, 3, len(text) - 1)]
+    assert secrets.lexed_spans("pwd=Zx81kk92Lq07vB==") == [secrets.Span(4, 3, 20)]
+    assert secrets.lexed_spans("a = b\nb = a\npwd = a") == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "pwd=a1" * 170_000, '"\\' * 400_000, "a:b<" * 250_000, 'a="""' * 180_000, 'a="x\\' * 180_000, 'pwd="x"' + '+"x"' * 200_000,
+        "a: |\n" * 180_000, "pwd=a1&" * 140_000, "a = " * 220_000, "".join(f"n{i} = n{i + 1}\n" for i in range(60_000)), "a = b\nb = a\n" * 70_000,
+        'f("a",' * 140_000, '<a key="pwd" ' * 70_000, 'pwd="' * 180_000, "pwd:" * 220_000,
+    ],
+    ids=range(15),
+)
+def test_long_texts_take_linear_time(text):
+    start = time.process_time()
+    secrets.spans(text)
+    assert time.process_time() - start < 15
+
+
+# --- contexts
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_a_chain_of_contexts_is_followed_to_its_end(spark):
+    """Seven contexts, each sharing seven of its ten entities with the one before; only the first has seeds."""
+    numbers = [f"{10_000_000 + 7919 * k}X{k}" for k in range(40)]
+    cards = [next(f"{4_000_000_000_000 + k * 7919}{c}" for c in range(10) if luhn(f"{4_000_000_000_000 + k * 7919}{c}")) for k in range(7)]
+    entities = cards + numbers
+    names = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta", "eta"]
+    rows = [
+        (100 * c + k, f"Some words here. Customer {name} {e} was noted")
+        for c, name in enumerate(names)
+        for k, e in enumerate(entities[3 * c : 3 * c + 10])
+    ]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    lost = [r.doc_id for r in found if not r.spans]
+    assert lost == [] and sum(r.n_context for r in found) >= 40
+
+
+# --- shards
+
+
+def test_the_directory_grows_with_the_shards(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "repeat('x', 85) AS text")
+    done = sharding.directory(sharding._sized(docs, "doc_id", "text"), 100)
+    n, (bits, lookup) = done.count(), sharding._lookup(done)
+    entries = lookup.selectExpr("sum(size(_shards)) AS n", "max(size(_shards)) AS most").first()
+    assert n == 3000 and lookup.count() <= n and entries.n <= 2 * n and entries.most < 30
+    rows = sharding.shard(docs, 100).collect()
+    assert len({r.shard_id for r in rows}) == 3000 and all(r.shard_bytes == 85 for r in rows)
+
+
+def test_places_that_share_thirty_bits(spark):
+    place = lambda top, low: (top << 30) | low
+    sized = spark.createDataFrame([(place(5, 1), 80), (place(5, 1 << 29), 80), (place(9, 3), 10)], "place long, bytes long")
+    done = sharding.directory(sized, 100)
+    assert sorted(r.depth for r in done.collect())[-2:] == [31, 31]
+    bits, lookup = sharding._lookup(done)
+    assert lookup.count() <= done.count()
