@@ -317,6 +317,25 @@ _DEFS |= {
                count(DISTINCT customer_unique_id) AS customers, count(order_id) AS orders,
                sum(recognized_revenue)::DECIMAL(38,3) AS revenue
         FROM dated_orders GROUP BY ALL""",
+    "second_purchases": f"""
+        SELECT customer_unique_id, min(purchased_at) AS first_at,
+               CASE WHEN count(*) > 1 THEN max(purchased_at) END AS second_at
+        FROM (SELECT c.customer_unique_id, m.purchased_at,
+                     row_number() OVER (PARTITION BY c.customer_unique_id ORDER BY m.purchased_at) AS place
+              FROM mart_orders_wide m JOIN stg_customers c USING (customer_id)
+              WHERE c.customer_unique_id IS NOT NULL AND m.purchased_at::DATE <= DATE '{AS_OF}')
+        WHERE place <= 2 GROUP BY customer_unique_id""",
+    "watch_days": f"""
+        SELECT date_diff('day', first_at::DATE, coalesce(second_at::DATE, DATE '{AS_OF}')) AS days,
+               count(*) AS gone, count(second_at) AS came_back
+        FROM second_purchases GROUP BY ALL""",
+    "watched_days": """
+        SELECT days, came_back, (sum(gone) OVER (ORDER BY days DESC))::BIGINT AS at_risk FROM watch_days""",
+    "repeat_purchase": """
+        SELECT days AS days_since_first, at_risk, came_back, round(100.0 * (1.0 - away), 4) AS came_back_pct
+        FROM (SELECT *, list_reduce(list_prepend(1.0::DOUBLE, list((at_risk - came_back)::DOUBLE / at_risk::DOUBLE)
+                                    OVER (ORDER BY days)), lambda x, y: x * y) AS away
+              FROM watched_days) WHERE came_back > 0""",
     "category_sales": """
         SELECT m.order_month, ifnull(t.english, p.original) AS category, i.item_price, i.order_item_id
         FROM stg_order_items i

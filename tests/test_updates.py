@@ -272,8 +272,8 @@ def test_refresh_equals_a_full_build_on_random_batches(spark, landing, tmp_path)
     store = MartStore(spark, f"{tmp_path}/marts")
     pipeline.refresh(spark, landing.raw, store)
     assert marts(store) == rebuilt(spark, landing, tmp_path, "seed")
-    for number in range(3):
-        layer = random_layer(pick, pick.sample(names, 4), pick.sample(sellers, 2))
+    for number in range(2):
+        layer = random_layer(pick, pick.sample(names, 6), pick.sample(sellers, 2))
         layer["customers"] = pick.sample(layer["customers"], 1)
         tables = pick.sample(sorted(layer), 3)
         for t in tables:
@@ -281,10 +281,10 @@ def test_refresh_equals_a_full_build_on_random_batches(spark, landing, tmp_path)
             KeyedTable(spark, landing.raw, t).append(versions(spark, t, batch), "q", number)
         pipeline.refresh(spark, landing.raw, store)
         assert marts(store) == rebuilt(spark, landing, tmp_path, number), (number, tables)
-        if number == 1:
+        if number == 0:
             for t in RAW:
                 KeyedTable(spark, landing.raw, t).fold()
-    assert pipeline.refresh(spark, landing.raw, store) and len(store.published()) <= 5  # nothing new, no new version
+    assert pipeline.refresh(spark, landing.raw, store) and len(store.published()) <= 4  # nothing new, no new version
     published = store.published()
     pipeline.refresh(spark, landing.raw, store)
     assert store.published() == published

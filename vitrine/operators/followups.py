@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,53 @@ def relationship_test(
     return counted.select(*result_row(dataset, column, "relationships", F.col("failures")))
 
 
+def relationship_tests(
+    frames: dict[str, DataFrame], tests: list[tuple[str, str, str]]
+) -> DataFrame:
+    """Many relationship tests at once; each is (child, column, parent), the key named alike in both.
+
+    Every dataset is read once for all its keys. The keys of all are stacked with the place of their
+    dataset and counted in one grouping, which combines before its only shuffle, so a key with a third of
+    the rows is one row a task in it. A key fails a test by its rows in the child if the parent has none.
+    Null passes.
+    """
+    names = sorted(frames)
+    columns: dict[str, list[str]] = {}
+    for child, column, parent in tests:
+        for name in (child, parent):
+            columns.setdefault(name, [])
+            if column not in columns[name]:
+                columns[name].append(column)
+    stacked = [
+        frames[name].select(
+            F.explode(F.array(*[F.struct(F.lit(c).alias("domain"), F.col(c).alias("key")) for c in own])).alias("k")
+        ).select("k.domain", "k.key", F.lit(names.index(name)).alias("dataset"))
+        for name, own in columns.items()
+    ]
+    counts = (
+        reduce(DataFrame.unionByName, stacked)
+        .filter(F.col("key").isNotNull())
+        .groupBy("domain", "key")
+        .agg(*[F.count_if(F.col("dataset") == k).alias(f"n{k}") for k in range(len(names))])
+    )
+    failing = [
+        F.when((F.col("domain") == column) & (F.col(f"n{names.index(parent)}") == 0), F.col(f"n{names.index(child)}"))
+        for child, column, parent in tests
+    ]
+    totals = counts.agg(*[F.coalesce(F.sum(f), F.lit(0).cast("long")).alias(f"f{k}") for k, f in enumerate(failing)])
+    rows = [
+        F.struct(F.lit(child).alias("dataset"), F.lit(column).alias("column"), F.col(f"f{k}").alias("failures"))
+        for k, (child, column, _) in enumerate(tests)
+    ]
+    return totals.select(F.inline(F.array(*rows))).select(
+        "dataset",
+        "column",
+        F.lit("relationships").alias("test"),
+        "failures",
+        (F.col("failures") == 0).alias("passed"),
+    )
+
+
 def repeated_reviews(reviews: DataFrame) -> DataFrame:
     """Review ids that occur more than once, and how far their rows agree."""
     per_order = reviews.groupBy("review_id", "order_id").agg(
@@ -171,6 +219,67 @@ def customer_cohorts(customers: DataFrame, orders_mart: DataFrame) -> DataFrame:
     )
 
 
+def repeat_purchase(customers: DataFrame, orders_mart: DataFrame, last_day: dt.date) -> DataFrame:
+    """The share of people who have come back by each day after their first purchase.
+
+    A person is watched from their first purchase to `last_day`; who has not bought again by then has only
+    been watched for so long. The product-limit estimate takes that in: on each day on which somebody came
+    back, the share still away is multiplied by the part of those watched that did not. Purchases after the
+    last day do not count. The product runs over the days in order, so it has one value whatever the
+    partitioning.
+    """
+    bought = orders_mart.filter(F.col("purchased_at") < day(last_day + dt.timedelta(days=1)))
+    people = customers.filter(F.col("customer_unique_id").isNotNull()).select("customer_id", "customer_unique_id")
+    bought = bought.select("customer_id", "purchased_at").join(
+        plain_key(people, "customer_id", "account"), F.col("customer_id") == F.col("account")
+    )
+    # two rows a person are all that leaves a task, whoever buys most
+    place = F.row_number().over(W.partitionBy("customer_unique_id").orderBy("purchased_at"))
+    firsts = bought.withColumn("place", place).filter(F.col("place") <= 2)
+    watched = firsts.groupBy("customer_unique_id").agg(
+        F.min("purchased_at").alias("first"), F.max("purchased_at").alias("second"), (F.count("*") > 1).alias("back")
+    )
+    until = F.when(F.col("back"), F.col("second")).otherwise(day(last_day))
+    by_day = (
+        watched.select(calendar_days(F.col("first"), until).alias("days"), F.col("back").cast("long").alias("back"))
+        .groupBy("days")
+        .agg(F.count("*").alias("left"), F.sum("back").alias("came_back"))
+    )
+    # one row a day of the longest watch, in one array: a few thousand at most
+    days = by_day.agg(F.sort_array(F.collect_list(F.struct("days", "left", "came_back"))).alias("by_day"), F.sum("left").alias("people"))
+    run = F.aggregate(
+        "by_day",
+        F.struct(
+            F.col("people").alias("at_risk"),
+            F.lit(1.0).alias("away"),
+            F.array().cast("array<struct<days:bigint,at_risk:bigint,came_back:bigint,away:double>>").alias("done"),
+        ),
+        lambda acc, x: F.struct(
+            (acc["at_risk"] - x["left"]).alias("at_risk"),
+            (acc["away"] * ratio(acc["at_risk"] - x["came_back"], acc["at_risk"])).alias("away"),
+            F.array_append(
+                acc["done"],
+                F.struct(
+                    x["days"].alias("days"),
+                    acc["at_risk"].alias("at_risk"),
+                    x["came_back"].alias("came_back"),
+                    (acc["away"] * ratio(acc["at_risk"] - x["came_back"], acc["at_risk"])).alias("away"),
+                ),
+            ).alias("done"),
+        ),
+    )["done"]
+    return (
+        days.select(F.inline(run))
+        .filter(F.col("came_back") > 0)
+        .select(
+            F.col("days").alias("days_since_first"),
+            "at_risk",
+            "came_back",
+            half_away(F.lit(100.0) * (F.lit(1.0) - F.col("away")), 4).alias("came_back_pct"),
+        )
+    )
+
+
 # --- categories --------------------------------------------------------------------------------
 
 

@@ -236,6 +236,11 @@ def orders_headline(
         as_of,
         exclude_years,
     )
+    return headline(board)
+
+
+def headline(board: DataFrame) -> DataFrame:
+    """The headlines from one row a month."""
     delivered, reviewed = F.col("has_delivery"), F.col("has_review")
     return board.agg(
         *_finance(),

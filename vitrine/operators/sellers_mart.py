@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from vitrine.functions.numeric import MONEY_SUM, half_away, money_or_zero, money_sum, percent, ratio
 
 
-def seller_orders(items: DataFrame, orders_mart: DataFrame) -> DataFrame:
-    """One row a seller and delivered order.
+def seller_orders(items: DataFrame, orders_mart: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row a seller and delivered order; `by` adds columns of the order.
 
     Both sides are collapsed before they meet, so no key is hot in the join: an order with very
     many items arrives as one row a seller, and copies of an order in the mart arrive as one row
@@ -20,7 +20,7 @@ def seller_orders(items: DataFrame, orders_mart: DataFrame) -> DataFrame:
     )
     delivered = (
         orders_mart.filter(F.col("order_status") == "delivered")
-        .groupBy("order_id")
+        .groupBy("order_id", *by)
         .agg(
             F.count(F.lit(1)).alias("copies"),
             F.max("delivery_days").alias("delivery_days"),
@@ -32,6 +32,7 @@ def seller_orders(items: DataFrame, orders_mart: DataFrame) -> DataFrame:
     return sold.join(delivered, "order_id").select(
         "seller_id",
         "order_id",
+        *by,
         (F.col("price") * F.col("copies")).cast(MONEY_SUM).alias("order_revenue"),
         (F.col("items") * F.col("copies")).alias("items_count"),
         "delivery_days",
@@ -45,36 +46,50 @@ def seller_orders(items: DataFrame, orders_mart: DataFrame) -> DataFrame:
 _AVERAGED = ["delivery_days", "delay_days", "review_score"]
 
 
-def seller_totals(rollup: DataFrame) -> DataFrame:
-    """One row a seller of sums and counts, which add up over any parts of the roll-up.
+#: The columns of seller_totals besides what they are grouped by.
+TOTALS = [
+    "orders",
+    "items",
+    "revenue",
+    "revenue_n",
+    "on_time",
+    "on_time_n",
+    *[f"{c}_{kind}" for c in _AVERAGED for kind in ("sum", "n")],
+]
+
+
+def seller_totals(rollup: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One row a seller (or group) of sums and counts, which add up over any parts of the roll-up.
 
     How many values a sum has is kept with it, so that what no row brings is known to be missing.
     """
-    return rollup.groupBy("seller_id").agg(
+
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(F.col(column).cast("long")), F.lit(0).cast("long"))
+
+    return rollup.groupBy(*(by or ["seller_id"])).agg(
         F.count("order_id").alias("orders"),
         F.sum("items_count").alias("items"),
-        money_sum("order_revenue").alias("revenue"),
+        F.coalesce(money_sum("order_revenue"), F.lit(0)).cast(MONEY_SUM).alias("revenue"),
         F.count("order_revenue").alias("revenue_n"),
-        F.sum(F.col("is_on_time").cast("long")).alias("on_time"),
+        total("is_on_time").alias("on_time"),
         F.count("is_on_time").alias("on_time_n"),
-        *[F.sum(F.col(c).cast("long")).alias(f"{c}_sum") for c in _AVERAGED],
-        *[F.count(c).alias(f"{c}_n") for c in _AVERAGED],
+        *[c for name in _AVERAGED for c in (total(name).alias(f"{name}_sum"), F.count(name).alias(f"{name}_n"))],
     )
 
 
 def changed_totals(totals: DataFrame, gone: DataFrame, come: DataFrame) -> DataFrame:
-    """Totals after some rows of the roll-up are gone and others have come. Sellers without a row drop out."""
-    names = [c for c in totals.columns if c != "seller_id"]
-    less = gone.select("seller_id", *[(-F.col(c)).alias(c) for c in names])
-    summed = (
+    """Totals after some rows of the roll-up are gone and others have come. Groups without a row drop out."""
+    by = [c for c in totals.columns if c not in TOTALS]
+    less = gone.select(*by, *[(-F.col(c)).alias(c) for c in TOTALS])
+    kinds = dict(totals.dtypes)
+    return (
         totals.unionByName(less)
         .unionByName(come)
-        .groupBy("seller_id")
-        .agg(*[F.sum(c).cast(kind).alias(c) for c, kind in totals.dtypes if c != "seller_id"])
+        .groupBy(*by)
+        .agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in TOTALS])
         .filter(F.col("orders") > 0)
     )
-    counted = {"revenue": "revenue_n", "on_time": "on_time_n"} | {f"{c}_sum": f"{c}_n" for c in _AVERAGED}
-    return summed.withColumns({c: F.when(F.col(n) > 0, F.col(c)) for c, n in counted.items()})
 
 
 def sellers_mart(sellers: DataFrame, rollup: DataFrame) -> DataFrame:
@@ -87,6 +102,7 @@ def sellers_mart(sellers: DataFrame, rollup: DataFrame) -> DataFrame:
 
 
 def sellers_from_totals(sellers: DataFrame, totals: DataFrame) -> DataFrame:
+    """`sellers` as staged; the totals of no seller are left out."""
     places = sellers.select(
         "seller_id", F.col("city").alias("seller_city"), F.col("state").alias("seller_state")
     )
@@ -98,6 +114,9 @@ def sellers_from_totals(sellers: DataFrame, totals: DataFrame) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in summed])
     )
 
+    known = {"revenue": "revenue_n", "on_time": "on_time_n"}
+    joined = joined.withColumns({c: F.when(F.col(n) > 0, F.col(c)) for c, n in known.items()})
+
     def mean(column: str) -> Column:
         return ratio(F.col(f"{column}_sum"), F.col(f"{column}_n"))
 

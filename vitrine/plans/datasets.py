@@ -7,9 +7,10 @@ from collections.abc import Iterable
 from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vitrine.functions.fixed_values import INCOMPLETE_YEARS, ORDER_STATUSES, REVIEW_SCORES
-from vitrine.operators import cards, followups, kpis, orders_mart, quality, sellers_mart, staging
+from vitrine.operators import cards, day_sums, followups, kpis, orders_mart, quality, sellers_mart, staging
 from vitrine.sources.marts import MartStore
 from vitrine.sources.raw import RawReader
 from vitrine.sources.readonly import read_only
@@ -110,6 +111,16 @@ class Datasets:
     def recognized_revenue(self) -> DataFrame:
         return orders_mart.recognized_revenue(self.stg_orders, self.stg_order_payments)
 
+    @cached_property
+    def _sums(self) -> dict[str, DataFrame] | None:
+        """The stored sums of the range by state and by seller, if there are a range and a store."""
+        if not (self.store and self.days):
+            return None
+        table = self.store.sums
+        return {
+            by: day_sums.in_range(table(f"month_{by}"), table(f"day_{by}"), *self.days) for by in ("states", "sellers")
+        }
+
     def _orders_with(self, *totals: str) -> DataFrame:
         """The orders mart with the columns that these totals fill (items, payments, reviews)."""
         if self.store:
@@ -133,7 +144,13 @@ class Datasets:
 
     @cached_property
     def mart_sellers_wide(self) -> DataFrame:
-        if self.store and not self.days:
+        if self._sums:
+            places = self.store.sellers().select(
+                "seller_id", F.col("seller_city").alias("city"), F.col("seller_state").alias("state")
+            )
+            totals = day_sums.added_totals(self._sums["sellers"], ["seller_id"])
+            return sellers_mart.sellers_from_totals(places, totals)
+        if self.store:
             return self.store.sellers()
         return sellers_mart.sellers_mart(self.stg_sellers, self.seller_orders)
 
@@ -141,14 +158,20 @@ class Datasets:
 
     @cached_property
     def cfo_monthly_revenue(self) -> DataFrame:
+        if self._sums:
+            return day_sums.monthly_revenue(self._sums["states"], **self.window)
         return kpis.monthly_revenue(self.orders_with("payments"), **self.window)
 
     @cached_property
     def coo_monthly_delivery(self) -> DataFrame:
+        if self._sums:
+            return day_sums.monthly_delivery(self._sums["states"], **self.window)
         return kpis.monthly_delivery(self.orders_with(), **self.window)
 
     @cached_property
     def cx_monthly_reviews(self) -> DataFrame:
+        if self._sums:
+            return day_sums.monthly_reviews(self._sums["states"], **self.window)
         return kpis.monthly_reviews(self.orders_with("reviews"), **self.window)
 
     @cached_property
@@ -165,6 +188,8 @@ class Datasets:
 
     @cached_property
     def state_revenue(self) -> DataFrame:
+        if self._sums:
+            return day_sums.state_revenue(self._sums["states"])
         return kpis.state_revenue(self.orders_with("payments"))
 
     @cached_property
@@ -195,10 +220,11 @@ class Datasets:
 
     @cached_property
     def kpi_cards(self) -> DataFrame:
-        return cards.kpi_cards(
-            kpis.orders_headline(self.orders_with("payments", "reviews"), **self.window),
-            kpis.sellers_headline(self.mart_sellers_wide),
-        )
+        if self._sums:
+            orders = day_sums.orders_headline(self._sums["states"], **self.window)
+        else:
+            orders = kpis.orders_headline(self.orders_with("payments", "reviews"), **self.window)
+        return cards.kpi_cards(orders, kpis.sellers_headline(self.mart_sellers_wide))
 
     @cached_property
     def cfo_chart(self) -> DataFrame:
@@ -240,16 +266,20 @@ class Datasets:
 
     @cached_property
     def dq_relationships(self) -> DataFrame:
-        test = followups.relationship_test
-        orders, sellers = self.orders_with(), self.mart_sellers_wide
-        return quality.union_all(
+        frames = {
+            "mart_orders_wide": self.orders_with(),
+            "mart_sellers_wide": self.mart_sellers_wide,
+            **{n: self[n] for n in ("stg_orders", "stg_customers", "stg_sellers", "stg_order_items")},
+        }
+        return followups.relationship_tests(
+            frames,
             [
-                test(orders, "mart_orders_wide", "order_id", self.stg_orders, "order_id"),
-                test(orders, "mart_orders_wide", "customer_id", self.stg_customers, "customer_id"),
-                test(sellers, "mart_sellers_wide", "seller_id", self.stg_sellers, "seller_id"),
-                test(self.stg_order_items, "stg_order_items", "order_id", orders, "order_id"),
-                test(self.stg_order_items, "stg_order_items", "seller_id", sellers, "seller_id"),
-            ]
+                ("mart_orders_wide", "order_id", "stg_orders"),
+                ("mart_orders_wide", "customer_id", "stg_customers"),
+                ("mart_sellers_wide", "seller_id", "stg_sellers"),
+                ("stg_order_items", "order_id", "mart_orders_wide"),
+                ("stg_order_items", "seller_id", "mart_sellers_wide"),
+            ],
         )
 
     @cached_property
@@ -264,6 +294,9 @@ class Datasets:
     def customer_cohorts(self) -> DataFrame:
         return followups.customer_cohorts(self.stg_customers, self.orders_with("payments"))
 
+    def repeat_purchase(self, last_day: dt.date) -> DataFrame:
+        return followups.repeat_purchase(self.stg_customers, self.orders_with(), last_day)
+
     @cached_property
     def category_revenue(self) -> DataFrame:
         return followups.category_revenue(*self._category_inputs())

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.dates import month_start
 from vitrine.functions.fixed_values import ORDER_STATUSES, RAW_FILES
-from vitrine.operators import quality, sellers_mart, staging
+from vitrine.operators import day_sums, quality, sellers_mart, staging
 from vitrine.plans.datasets import Datasets
 from vitrine.session import build_session, shared_folder
 from vitrine.sources.files import names_in
 from vitrine.sources.keyed import KeyedTable, Snapshot
-from vitrine.sources.marts import Manifest, MartStore, MartVersion, month_of
+from vitrine.sources.marts import WORK, Manifest, MartStore, MartVersion, month_of
 from vitrine.sources.raw import RawReader, parquet_folder, seed
 from vitrine.streaming.ingest import ingest
 
@@ -100,17 +100,27 @@ def build(spark: SparkSession, raw: RawReader, store: MartStore, at: dict[str, i
     plain = Datasets(spark, raw)
     orders, order_results = _watched_orders(plain.mart_orders_wide)
     version.write_orders(orders)
-    totals = sellers_mart.seller_totals(sellers_mart.seller_orders(plain.stg_order_items, version.orders()))
-    _write_sellers(version, plain.stg_sellers, totals, store, order_results)
+    rollup = sellers_mart.seller_orders(plain.stg_order_items, day_sums.day_of(version.orders()), _BY_DAY)
+    _write_sums(version, version.orders(), day_sums.day_sellers(rollup))
+    _write_sellers(version, plain.stg_sellers, store, order_results)
     return Datasets(spark, raw, store)
 
 
-def _write_sellers(
-    version: MartVersion, sellers: DataFrame, totals: DataFrame, store: MartStore, order_results: Callable
-) -> None:
-    version.manifest.sellers = version.name
-    version.write_totals(totals)
-    mart, results = _watched_sellers(sellers_mart.sellers_from_totals(sellers, version.totals()))
+_BY_DAY = ("order_month", "day")
+
+
+def _write_sums(version: MartVersion, orders: DataFrame, sellers: DataFrame) -> None:
+    """The tables of sums of the months that the version writes; those by month are read off those by day."""
+    version.write_sums("day_states", day_sums.day_states(orders))
+    version.write_sums("day_sellers", sellers)
+    months = version.written()
+    version.write_sums("month_states", day_sums.month_states(version.sums("day_states", months)))
+    version.write_sums("month_sellers", day_sums.month_sellers(version.sums("day_sellers", months)))
+
+
+def _write_sellers(version: MartVersion, sellers: DataFrame, store: MartStore, order_results: Callable) -> None:
+    totals = day_sums.added_totals(version.sums("month_sellers"), ["seller_id"])
+    mart, results = _watched_sellers(sellers_mart.sellers_from_totals(sellers, totals))
     version.write_sellers(mart)
     rows = version.orders(version.written())
     _publish(store, version, [*order_results(rows), *results(version.sellers())])
@@ -188,8 +198,9 @@ def refresh(spark: SparkSession, raw_dir: str, store: MartStore) -> Datasets:
     """Brings the marts up to what the raw layer is now; equal to a full build, and tested like one.
 
     The orders that changed are computed anew and take their place in the months they were and are in;
-    other months are neither read nor written, the new version names their old folders. The sellers' totals
-    are sums, so what these orders brought before is taken off and what they bring now is added. Without
+    other months are neither read nor written, the new version names their old folders. The sellers' sums
+    of those months lose what these orders brought before and gain what they bring now; the sellers mart is
+    made of the sums of all months. Without
     a version to go on from, or after a new seed, both marts are built in full.
     """
     raw = parquet_folder(spark, raw_dir)
@@ -200,37 +211,39 @@ def refresh(spark: SparkSession, raw_dir: str, store: MartStore) -> Datasets:
     if not changes.any():
         return Datasets(spark, raw, store)
 
-    version = store.new_version(Manifest(dict(last.months), last.sellers, changes.numbers()))
     old = store.current()
+    sums = {name: dict(months) for name, months in last.sums.items()}
+    version = store.new_version(Manifest(dict(last.months), sums, last.sellers, changes.numbers()))
     ids = _kept(changes.orders(), store, version, "changed_orders")
     nameless = changes.nameless_orders()
     before = _only(changes.read(changes.then), ids, None)
     after = _only(changes.read(changes.now), ids, nameless)
 
     months = _months(before("orders")) | _months(after("orders"))
-    folders = {m for m in old.manifest.months if _as_text(month_of(m)) in months}
+    folders = {m for m in last.months if _as_text(month_of(m)) in months}
     stay = old.orders(folders)
     gone = stay.join(ids, "order_id", "left_semi").select(stay.columns)
     rest = stay.join(ids, "order_id", "left_anti").select(stay.columns)
-    new = Datasets(spark, after)
-    fresh, results = _watched_orders(rest.unionByName(new.mart_orders_wide))
-    for folder in folders:
-        del version.manifest.months[folder]
+    fresh, results = _watched_orders(rest.unionByName(Datasets(spark, after).mart_orders_wide))
+    version.forget(folders)
     version.write_orders(fresh)
 
     come = version.orders(version.written()).join(ids, "order_id", "left_semi").select(stay.columns)
     sold = [
-        sellers_mart.seller_totals(sellers_mart.seller_orders(staging.order_items(items("order_items")), orders))
-        for items, orders in ((before, gone), (after, come))
+        day_sums.day_sellers(
+            sellers_mart.seller_orders(staging.order_items(raw("order_items")), day_sums.day_of(orders), _BY_DAY)
+        )
+        for raw, orders in ((before, gone), (after, come))
     ]
-    totals = sellers_mart.changed_totals(old.totals(), *sold)
-    _write_sellers(version, staging.sellers(changes.read(changes.now)("sellers")), totals, store, results)
+    sellers = sellers_mart.changed_totals(old.sums("day_sellers", folders), *sold)
+    _write_sums(version, version.orders(version.written()), sellers)
+    _write_sellers(version, staging.sellers(changes.read(changes.now)("sellers")), store, results)
     return Datasets(spark, changes.read(changes.now), store)
 
 
 def _kept(df: DataFrame, store: MartStore, version: MartVersion, name: str) -> DataFrame:
     """A table written beside the marts for the time of a refresh; the next prune takes it."""
-    folder = f"{store.root}/{name}/version={version.name}"
+    folder = f"{store.root}/{WORK}/version={version.name}/{name}"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 

@@ -13,17 +13,22 @@ from pyspark.sql.types import StructType
 
 from vitrine.sources.files import create, delete, names_in, text_of
 from vitrine.sources.readonly import read_only
-from vitrine.sources.schemas import ORDERS_MART, SELLER_TOTALS, SELLERS_MART
+from vitrine.sources.schemas import ORDERS_MART, SELLERS_MART, SUMS
 
-ORDERS, SELLERS, TOTALS = "mart_orders_wide", "mart_sellers_wide", "seller_totals"
+ORDERS, SELLERS = "mart_orders_wide", "mart_sellers_wide"
+WORK = "work"  # what a refresh writes for itself
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass
 class Manifest:
-    """What a version consists of: for each month the version that wrote it, and the raw snapshots."""
+    """What a version consists of: for each month the version that wrote it, and the raw snapshots.
+
+    `sums` has the months of each table of sums.
+    """
 
     months: dict[str, str] = field(default_factory=dict)
+    sums: dict[str, dict[str, str]] = field(default_factory=dict)
     sellers: str = ""
     raw: dict[str, int] = field(default_factory=dict)
 
@@ -42,36 +47,52 @@ class MartVersion:
         self.manifest = manifest or Manifest()
 
     def write_orders(self, mart: DataFrame) -> None:
+        self.manifest.months |= self._write_months(ORDERS, mart)
+
+    def write_sums(self, name: str, sums: DataFrame) -> None:
+        self.manifest.sums[name] = self.manifest.sums.get(name, {}) | self._write_months(name, sums)
+
+    def _write_months(self, name: str, rows: DataFrame) -> dict[str, str]:
         """One folder a month. The rebalance gives full-sized files and splits a hot month."""
-        folder = f"{self.root}/{ORDERS}"
-        mart.hint("rebalance", "order_month").withColumn("version", F.lit(self.name)).write.mode(
+        folder = f"{self.root}/{name}"
+        rows.hint("rebalance", "order_month").withColumn("version", F.lit(self.name)).write.mode(
             "append"
         ).partitionBy("order_month", "version").parquet(folder)
-        for month in names_in(self.spark, folder):
-            if month.startswith("order_month=") and f"version={self.name}" in names_in(
-                self.spark, f"{folder}/{month}"
-            ):
-                self.manifest.months[month.removeprefix("order_month=")] = self.name
+        own = f"version={self.name}"
+        found = [n for n in names_in(self.spark, folder) if n.startswith("order_month=")]
+        return {
+            n.removeprefix("order_month="): self.name for n in found if own in names_in(self.spark, f"{folder}/{n}")
+        }
+
+    def forget(self, months: set[str]) -> None:
+        """These months are to be written anew."""
+        for table in (self.manifest.months, *self.manifest.sums.values()):
+            for month in months:
+                table.pop(month, None)
 
     def write_sellers(self, mart: DataFrame) -> None:
         mart.hint("rebalance").write.parquet(f"{self.root}/{SELLERS}/version={self.name}")
         self.manifest.sellers = self.name
 
-    def write_totals(self, totals: DataFrame) -> None:
-        totals.hint("rebalance").write.parquet(f"{self.root}/{TOTALS}/version={self.name}")
-
     def written(self) -> set[str]:
         """The months that this version wrote itself."""
         return {month for month, name in self.manifest.months.items() if name == self.name}
 
     def orders(self, months: set[str] | None = None) -> DataFrame:
         """The orders mart, or those of its months that are named as their folders are."""
+        return self._months(ORDERS, ORDERS_MART, self.manifest.months, months)
+
+    def sums(self, name: str, months: set[str] | None = None) -> DataFrame:
+        """A table of sums (see schemas.SUMS), or some of its months."""
+        return self._months(name, SUMS[name], self.manifest.sums.get(name, {}), months)
+
+    def _months(self, name: str, ddl: str, at: dict[str, str], months: set[str] | None) -> DataFrame:
         # the schema is given because a partition folder's text would else read back zoned
-        schema = StructType.fromDDL(f"{ORDERS_MART}, version string")
-        folder = f"{self.root}/{ORDERS}"
+        schema = StructType.fromDDL(f"{ddl}, version string")
+        folder = f"{self.root}/{name}"
         paths = [
-            f"{folder}/order_month={month}/version={name}"
-            for month, name in sorted(self.manifest.months.items())
+            f"{folder}/order_month={month}/version={version}"
+            for month, version in sorted(at.items())
             if months is None or month in months
         ]
         if not paths:
@@ -80,14 +101,8 @@ class MartVersion:
         return reader.parquet(*paths).select([c for c in schema.names if c != "version"])
 
     def sellers(self) -> DataFrame:
-        return self._read(SELLERS, SELLERS_MART)
-
-    def totals(self) -> DataFrame:
-        return self._read(TOTALS, SELLER_TOTALS)
-
-    def _read(self, mart: str, ddl: str) -> DataFrame:
-        schema = StructType.fromDDL(ddl)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{mart}/version={self.manifest.sellers}")
+        schema = StructType.fromDDL(SELLERS_MART)
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{SELLERS}/version={self.manifest.sellers}")
 
 
 def month_of(folder: str) -> str | None:
@@ -124,11 +139,13 @@ class MartStore:
         live = [self._version(n).manifest for n in names[-keep:]]
         for name in names[:-keep]:
             delete(self.spark, f"{self.root}/published/{name}.json")
-        for folder in names_in(self.spark, f"{self.root}/{ORDERS}"):
-            month = folder.removeprefix("order_month=")
-            self._drop(f"{ORDERS}/{folder}", {m.months.get(month) for m in live})
-        for mart in (SELLERS, TOTALS):
-            self._drop(mart, {m.sellers for m in live})
+        for table in (ORDERS, *SUMS):
+            of = [m.months if table == ORDERS else m.sums.get(table, {}) for m in live]
+            for folder in names_in(self.spark, f"{self.root}/{table}"):
+                month = folder.removeprefix("order_month=")
+                self._drop(f"{table}/{folder}", {months.get(month) for months in of})
+        self._drop(SELLERS, {m.sellers for m in live})
+        self._drop(WORK, set())
 
     def _drop(self, folder: str, used: set[str | None]) -> None:
         for name in names_in(self.spark, f"{self.root}/{folder}"):
@@ -151,6 +168,9 @@ class MartStore:
     def sellers(self) -> DataFrame:
         return self.current().sellers()
 
+    def sums(self, name: str) -> DataFrame:
+        return self.current().sums(name)
+
     def query(self, sql: str, **values: object) -> DataFrame:
         """Read-only SQL over the marts, named {mart_orders_wide} and {mart_sellers_wide}."""
         version = self.current()

@@ -88,11 +88,21 @@ SELLERS_MART = """
     on_time_pct double, avg_review_score double, total_reviews bigint"""
 
 
-# What the sellers mart is made of: sums and counts, which can be added to and taken from.
-SELLER_TOTALS = """
-    seller_id string, orders bigint, items bigint, revenue decimal(38,3), revenue_n bigint,
-    on_time bigint, on_time_n bigint, delivery_days_sum bigint, delivery_days_n bigint,
-    delay_days_sum bigint, delay_days_n bigint, review_score_sum bigint, review_score_n bigint"""
+# Sums and counts that figures are made of, which can be added up over days, states and sellers.
+_STATE_SUMS = """
+    revenue decimal(38,3), orders bigint, paid decimal(38,3), paid_n bigint, paid_orders bigint,
+    on_time bigint, known bigint, days_sum bigint, days_n bigint, score_sum bigint, score_n bigint,
+    satisfied bigint"""
+_SELLER_SUMS = """
+    orders bigint, items bigint, revenue decimal(38,3), revenue_n bigint, on_time bigint,
+    on_time_n bigint, delivery_days_sum bigint, delivery_days_n bigint, delay_days_sum bigint,
+    delay_days_n bigint, review_score_sum bigint, review_score_n bigint"""
+SUMS = {
+    "day_states": f"order_month timestamp_ntz, day timestamp_ntz, customer_state string, {_STATE_SUMS}",
+    "month_states": f"order_month timestamp_ntz, customer_state string, {_STATE_SUMS}",
+    "day_sellers": f"order_month timestamp_ntz, day timestamp_ntz, seller_id string, {_SELLER_SUMS}",
+    "month_sellers": f"order_month timestamp_ntz, seller_id string, {_SELLER_SUMS}",
+}
 
 
 def raw_schema(table: str) -> StructType:
