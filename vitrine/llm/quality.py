@@ -27,9 +27,12 @@ LEAST_KEPT = 50  # per cent of word characters in lines that pass
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
-# fixed values: marks that end a sentence, also before closing quotes and brackets
-_END = re.compile(r"[.!?:;…。！？][\"'”’»)\]]*$")
-_SENTENCE = re.compile(r"[.!?…][\"'”’»)\]]*\s")
+# fixed values: marks that end a sentence, in Latin, Devanagari, Arabic, Armenian, Ethiopic, Khmer, Burmese and
+# East Asian scripts; the last of these need no space after them
+_END = re.compile(r"[.!?:;…।॥؟۔։።។။。．！？；：｡][\"'”’»」』）)\]]*$")
+_SENTENCE = re.compile(r"[.!?…।॥؟۔։።។။][\"'”’»)\]]*\s|[。．！？｡]")
+# fixed values: scripts that do not part words, of which two characters are taken for a word
+_UNPARTED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
 LONG_LINE = 12  # words from which a line may lack an end if a sentence ends in it
 # fixed values: what stands between the links of a menu
 _BETWEEN = re.compile(r"[|»›·•]|(?<=\s)(?:>|/|-|–)(?=\s)")
@@ -42,13 +45,31 @@ _BOILERPLATE = re.compile(
     r"|copyright (?:\(c\)|©|\d{4})|(?:licensed|released) under|spdx-license-identifier|powered by",
     re.IGNORECASE,
 )
+BOILERPLATE_SHARE = 10  # per cent of a sentence that such phrases make up in boilerplate
 _PRELUDE = re.compile(r"[{}|#*$%&<>»›·•~^=_\\]")
 
 
+def _n_words(line: str) -> int:
+    return line.count(" ") + 1 + (0 if line.isascii() else len(_UNPARTED.findall(line)) // 2)
+
+
+def _is_boilerplate(line: str) -> bool:
+    """True if most of a line is sentences that such phrases make up a good part of."""
+    if not _BOILERPLATE.search(line):
+        return False
+    start, bad = 0, 0
+    for end in [*(m.end() for m in _SENTENCE.finditer(line)), len(line)]:
+        phrases = sum(len(m[0]) for m in _BOILERPLATE.finditer(line, start, end))
+        if 100 * phrases >= BOILERPLATE_SHARE * (end - start) > 0:
+            bad += end - start
+        start = end
+    return 2 * bad > len(line)
+
+
 def line_passes(line: str) -> bool:
     """True if a line (with a word) reads as text."""
     line = line.strip()
-    if not _END.search(line) and (line.count(" ") < LONG_LINE - 1 or not _SENTENCE.search(line)):
+    if not _END.search(line) and (_n_words(line) < LONG_LINE or not _SENTENCE.search(line)):
         return False
     if _PRELUDE.search(line):
         n = line.count(" ") + 1
@@ -59,7 +80,7 @@ def line_passes(line: str) -> bool:
     said = line.split()
     if len(said) >= LEAST_STUTTER and 2 * sum(map(eq, said, said[1:])) > len(said):
         return False
-    return not _BOILERPLATE.search(line)
+    return not _is_boilerplate(line)
 
 
 def _lines(text: str, n_chars: int) -> tuple[int, int, list[str]]:
