@@ -5,7 +5,7 @@ import time
 
 import pytest
 
-from vitrine.llm import html, pii, secrets, sharding
+from vitrine.llm import html, pii, quality, secrets, sharding
 
 P = " ".join(["This is a sentence of the article that goes on for a while and says something."] * 5)
 C = " ".join(["Comment text by a reader which says little but is long enough."] * 3)
@@ -178,3 +178,39 @@ def test_places_that_share_thirty_bits(spark):
     assert sorted(r.depth for r in done.collect())[-2:] == [31, 31]
     bits, lookup = sharding._lookup(done)
     assert lookup.count() <= done.count()
+
+
+# --- lines
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "When the engineers came back from the long meeting, they had to log in again because the server had been restarted while nobody was watching the screens in the hall.",
+        "He read the report. Then he would read more of it in the evening, after dinner, when the house was quiet and nothing else was left to do for anybody there. So it went on.",
+        "यह एक साधारण वाक्य है जो दंड के साथ समाप्त होता है।",
+        "هل هذا سؤال واضح يقرأه الناس كل يوم في المدينة؟",
+        "这是一个很长的中文句子。它后面还有一些没有结束标记的文字而且这一行被截断了所以没有句号",
+        "これは普通の文です。",
+    ],
+)
+def test_lines_that_read_as_text(line):
+    assert quality.line_passes(line)
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        "Log in to read more.", "Copyright (c) 2020 Someone. All rights reserved.", "Sign up for our newsletter. Accept cookies to go on.",
+        "We use cookies. Read more about them in our privacy policy.", "目录 首页", "Home | About | Contact | Log in",
+    ],
+)
+def test_lines_that_do_not(line):
+    assert not quality.line_passes(line)
+
+
+def test_long_lines_take_linear_time():
+    start = time.process_time()
+    for line in ("log in. " * 120_000, "。" * 900_000, "read more " * 90_000):
+        quality.line_passes(line)
+    assert time.process_time() - start < 15
