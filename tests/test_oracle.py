@@ -13,7 +13,7 @@ def engine():
     return check_engine(SF)
 
 
-OWN = [*contract.NAMES, *contract.WITH_ARGUMENTS, *contract.IN_RANGE]  # the others are tested in tests/llm
+OWN = [*contract.NAMES, *contract.WITH_ARGUMENTS, *contract.IN_RANGE, "leader_history"]  # the others are tested in tests/llm
 
 
 @pytest.mark.parametrize("name", sorted(OWN))
