@@ -110,6 +110,17 @@ def repeated_reviews(reviews: DataFrame) -> DataFrame:
     )
 
 
+def dated_pairs(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+    """Pairs of a review (made at reviewed_at) and an order with the order's dates and how far apart they are."""
+    dates = orders.groupBy("order_id").agg(
+        F.min("order_purchase_at").alias("purchased_at"), F.min("order_delivered_customer_at").alias("delivered_at")
+    )
+    own = pairs.join(plain_key(dates, "order_id", "dated"), F.col("order_id") == F.col("dated"), "left").drop("dated")
+    before = F.coalesce(F.col("delivered_at") <= F.col("reviewed_at"), F.lit(False))
+    nearest = F.abs(calendar_days(F.when(before, F.col("delivered_at")).otherwise(F.col("purchased_at")), F.col("reviewed_at")))
+    return own.withColumn("after_delivery", before).withColumn("days_apart", nearest)
+
+
 def review_order_match(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     """For each review id under several orders its candidate orders, and which fits best.
 
@@ -122,13 +133,7 @@ def review_order_match(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     pairs = pairs.groupBy("review_id", "order_id").agg(F.min("review_created_at").alias("reviewed_at"))
     several = pairs.groupBy("review_id").agg(F.count("order_id").alias("candidates")).filter("candidates > 1")
     own = pairs.join(plain_key(several, "review_id", "of"), F.col("review_id") == F.col("of"), "left_semi")
-    dates = orders.groupBy("order_id").agg(
-        F.min("order_purchase_at").alias("purchased_at"), F.min("order_delivered_customer_at").alias("delivered_at")
-    )
-    own = own.join(plain_key(dates, "order_id", "dated"), F.col("order_id") == F.col("dated"), "left").drop("dated")
-    before = F.coalesce(F.col("delivered_at") <= F.col("reviewed_at"), F.lit(False))
-    nearest = F.abs(calendar_days(F.when(before, F.col("delivered_at")).otherwise(F.col("purchased_at")), F.col("reviewed_at")))
-    own = own.withColumn("after_delivery", before).withColumn("days_apart", nearest)
+    own = dated_pairs(own, orders)
     rank = F.struct((~F.col("after_delivery")).alias("late"), F.coalesce("days_apart", F.lit(2**40)).alias("apart"))
     ties = own.groupBy("review_id", rank.alias("rank")).agg(F.count("order_id").alias("n"), F.min("order_id").alias("least"))
     best = ties.groupBy("review_id").agg(F.min(F.struct("rank", "least", "n")).alias("best"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 from functools import cache, cached_property
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions.fixed_values import INCOMPLETE_YEARS, ORDER_STATUSES, REVIEW_SCORES
-from vitrine.operators import cards, day_sums, followups, kpis, orders_mart, quality, sellers_mart, staging
+from vitrine.operators import assignment, cards, day_sums, followups, kpis, orders_mart, quality, sellers_mart, staging
 from vitrine.sources.marts import MartStore
 from vitrine.sources.raw import RawReader
 from vitrine.sources.readonly import read_only
@@ -323,6 +324,18 @@ class Datasets:
     def review_order_match(self) -> DataFrame:
         return followups.review_order_match(self.stg_order_reviews, self.stg_orders)
 
+    def review_assignment(self, folder: str) -> DataFrame:
+        """`folder`: a shared one for the tables between rounds."""
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            path = f"{folder}/{name}-{uuid.uuid4().hex}"
+            df.write.parquet(path)
+            return df.sparkSession.read.schema(df.schema).parquet(path)
+
+        return assignment.review_assignment(
+            self.stg_order_reviews, self.stg_orders, self.stg_order_items, self.stg_products, keep
+        )
+
     @cached_property
     def state_delivery(self) -> DataFrame:
         return followups.state_delivery(self.orders_with())
