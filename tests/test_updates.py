@@ -234,7 +234,8 @@ def test_a_load_with_too_many_bad_rows_is_refused(spark, tmp_path):
 
 
 def marts(store):
-    return [sorted(map(str, df.collect())) for df in (store.orders(), store.sellers())]
+    tables = (store.orders(), store.sellers(), store.sums("seller_facts"), store.sums("day_sellers"), store.sums("month_states"))
+    return [sorted(map(str, df.collect())) for df in tables]
 
 
 def rebuilt(spark, landing, tmp_path, name):
@@ -341,6 +342,25 @@ def test_job_takes_in_and_refreshes(spark, landing, tmp_path, capsys):
     assert got == {"a": "0.000", "b": "7.000"}
 
 
+def test_a_seller_is_looked_up_in_few_files(spark, tmp_path):
+    """A seller with a third of all orders spans files; the others and strangers are in one or none of a month."""
+    orders = [order(f"o{k}") for k in range(900)]
+    items = [item(f"o{k}", "hot" if k % 3 == 0 else f"s{k}", 1.0 + k) for k in range(900)]
+    store = MartStore(spark, str(tmp_path))
+    raw = raw_layer(spark, orders=orders, order_items=items, sellers=[{"seller_id": "hot"}, {"seller_id": "s1"}])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        built = pipeline.build(spark, raw, store)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = {f for f in store.sums("seller_facts").inputFiles()}
+    hot, one_, stranger = (store.facts_of(s) for s in ("hot", "s1", "t-unknown"))
+    assert len(files) >= 6 and 1 < len(hot.inputFiles()) < len(files)
+    assert len(one_.inputFiles()) == 1 and stranger.inputFiles() == [] == stranger.collect()
+    assert hot.count() == 300 and [r.order_id for r in one_.collect()] == ["o1"]
+    assert sorted(map(str, built.leader_history.collect())) == sorted(map(str, Datasets(spark, raw).leader_history.collect()))
+
+
 # --- the gate
 
 

@@ -349,10 +349,19 @@ def purchased_between(orders_mart: DataFrame, first: dt.date, last: dt.date) ->
     )
 
 
+def seller_facts(items: DataFrame, orders_mart: DataFrame) -> DataFrame:
+    """What every seller sold, with the month of the order; items without a seller are left out."""
+    sold = _sold(items.filter(F.col("seller_id").isNotNull()))
+    return seller_history(sold, orders_mart, ["order_month"])
+
+
 def sold_orders(top: DataFrame, items: DataFrame) -> DataFrame:
     """What the sellers in `top`, a leaderboard of few rows, sold: one row a seller and order."""
-    own = items.join(top.select("seller_id").distinct(), "seller_id", "left_semi")
-    return own.groupBy("seller_id", "order_id").agg(
+    return _sold(items.join(top.select("seller_id").distinct(), "seller_id", "left_semi"))
+
+
+def _sold(items: DataFrame) -> DataFrame:
+    return items.groupBy("seller_id", "order_id").agg(
         money_sum("item_price").alias("seller_revenue"), F.count("order_item_id").alias("seller_items")
     )
 
@@ -362,11 +371,11 @@ _SOLD = ["seller_revenue", "seller_items"]
 _DELIVERY = ["delivery_days", "delay_days", "is_on_time"]
 
 
-def seller_history(sold: DataFrame, orders_mart: DataFrame) -> DataFrame:
+def seller_history(sold: DataFrame, orders_mart: DataFrame, more: list[str] = ()) -> DataFrame:
     """The sold orders in a stored mart: one row a seller and copy of an order."""
     own = plain_key(sold, "order_id", "sold_in")
     return orders_mart.join(own, F.col("order_id") == F.col("sold_in")).select(
-        "seller_id", "order_id", *_HISTORY, *_SOLD, *_DELIVERY, "review_score"
+        *more, "seller_id", "order_id", *_HISTORY, *_SOLD, *_DELIVERY, "review_score"
     )
 
 

@@ -313,8 +313,15 @@ class Datasets:
         """The same datasets over the orders bought in a range of days."""
         return Datasets(self.spark, self.raw, self.store, **self.window, days=(first, last))
 
+    def seller_history(self, seller_id: str) -> DataFrame:
+        """What one seller sold, from a store; of its files only those that may hold the seller are opened."""
+        return self.store.facts_of(seller_id)
+
     @cached_property
     def leader_history(self) -> DataFrame:
+        if self.store and not self.days:
+            first = kpis.leaders(self.mart_sellers_wide, 1).select("seller_id").first()
+            return self.seller_history(first.seller_id if first else "")
         sold = followups.sold_orders(kpis.leaders(self.mart_sellers_wide, 1), self.stg_order_items)
         if self.store or self.days:
             return followups.seller_history(sold, self.orders_with("reviews"))

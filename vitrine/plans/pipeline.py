@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.dates import month_start
 from vitrine.functions.fixed_values import ORDER_STATUSES, RAW_FILES
-from vitrine.operators import day_sums, quality, sellers_mart, staging
+from vitrine.operators import day_sums, followups, quality, sellers_mart, staging
 from vitrine.plans.datasets import Datasets
 from vitrine.session import build_session, shared_folder
 from vitrine.sources.files import names_in
@@ -102,6 +102,7 @@ def build(spark: SparkSession, raw: RawReader, store: MartStore, at: dict[str, i
     version.write_orders(orders)
     rollup = sellers_mart.seller_orders(plain.stg_order_items, day_sums.day_of(version.orders()), _BY_DAY)
     _write_sums(version, version.orders(), day_sums.day_sellers(rollup))
+    version.write_facts(followups.seller_facts(plain.stg_order_items, version.orders()))
     _write_sellers(version, plain.stg_sellers, store, order_results)
     return Datasets(spark, raw, store)
 
@@ -237,6 +238,9 @@ def refresh(spark: SparkSession, raw_dir: str, store: MartStore) -> Datasets:
     ]
     sellers = sellers_mart.changed_totals(old.sums("day_sellers", folders), *sold)
     _write_sums(version, version.orders(version.written()), sellers)
+    facts = old.sums("seller_facts", folders)
+    others = facts.join(ids, "order_id", "left_anti").select(facts.columns)
+    version.write_facts(others.unionByName(followups.seller_facts(staging.order_items(after("order_items")), come)))
     _write_sellers(version, staging.sellers(changes.read(changes.now)("sellers")), store, results)
     return Datasets(spark, changes.read(changes.now), store)
 

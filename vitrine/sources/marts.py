@@ -13,9 +13,11 @@ from pyspark.sql.types import StructType
 
 from vitrine.sources.files import create, delete, names_in, text_of
 from vitrine.sources.readonly import read_only
-from vitrine.sources.schemas import ORDERS_MART, SELLERS_MART, SUMS
+from vitrine.sources.schemas import MONTHLY, ORDERS_MART, SELLER_FACTS, SELLERS_MART
 
 ORDERS, SELLERS = "mart_orders_wide", "mart_sellers_wide"
+FACTS, FILES = "seller_facts", "seller_files"
+BITS = 1 << 15  # of a file's map of sellers
 WORK = "work"  # what a refresh writes for itself
 _NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 
@@ -52,12 +54,48 @@ class MartVersion:
     def write_sums(self, name: str, sums: DataFrame) -> None:
         self.manifest.sums[name] = self.manifest.sums.get(name, {}) | self._write_months(name, sums)
 
-    def _write_months(self, name: str, rows: DataFrame) -> dict[str, str]:
+    def write_facts(self, facts: DataFrame) -> None:
+        """What sellers sold, clustered by seller within the month, and what each file holds.
+
+        Ranges of seller and order are dealt out, so files hold few sellers and a large one has several.
+        """
+        keys = ["order_month", "seller_id", "order_id"]
+        written = self._write_months(FACTS, facts.repartitionByRange(*keys).sortWithinPartitions(*keys), deal=False)
+        self.manifest.sums[FACTS] = self.manifest.sums.get(FACTS, {}) | written
+        place = F.pmod(F.xxhash64("seller_id"), F.lit(BITS))
+        files = (
+            self._scan(FACTS, SELLER_FACTS, {m: self.name for m in written})
+            .select("order_month", "seller_id", F.col("_metadata.file_name").alias("file"))
+            .groupBy("order_month", "file")
+            .agg(
+                F.min("seller_id").alias("least"),
+                F.max("seller_id").alias("greatest"),
+                F.bitmap_construct_agg(place).alias("bits"),
+            )
+        )
+        self.write_sums(FILES, files)
+
+    def facts_of(self, seller_id: str) -> DataFrame:
+        """What one seller sold. Opens the files that may hold them: few, and mostly none for a stranger."""
+        place = F.pmod(F.xxhash64(F.lit(seller_id)), F.lit(BITS))
+        byte = F.conv(F.hex(F.substring("bits", (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        holds = F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
+        inside = (F.col("least") <= seller_id) & (F.col("greatest") >= seller_id)
+        folders = {(month_of(m) or "")[:7]: f"order_month={m}/version={v}" for m, v in self.manifest.sums[FACTS].items()}
+        found = self.sums(FILES).filter(inside & holds).select("order_month", "file").collect()
+        files = [f"{self.root}/{FACTS}/{folders[str(r.order_month or '')[:7]]}/{r.file}" for r in found]
+        schema = StructType([f for f in StructType.fromDDL(SELLER_FACTS) if f.name != "order_month"])
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*files).filter(F.col("seller_id") == seller_id)
+
+    def _write_months(self, name: str, rows: DataFrame, deal: bool = True) -> dict[str, str]:
         """One folder a month. The rebalance gives full-sized files and splits a hot month."""
         folder = f"{self.root}/{name}"
-        rows.hint("rebalance", "order_month").withColumn("version", F.lit(self.name)).write.mode(
-            "append"
-        ).partitionBy("order_month", "version").parquet(folder)
+        rows = rows.hint("rebalance", "order_month") if deal else rows
+        rows.withColumn("version", F.lit(self.name)).write.mode("append").partitionBy(
+            "order_month", "version"
+        ).parquet(folder)
         own = f"version={self.name}"
         found = [n for n in names_in(self.spark, folder) if n.startswith("order_month=")]
         return {
@@ -83,22 +121,22 @@ class MartVersion:
         return self._months(ORDERS, ORDERS_MART, self.manifest.months, months)
 
     def sums(self, name: str, months: set[str] | None = None) -> DataFrame:
-        """A table of sums (see schemas.SUMS), or some of its months."""
-        return self._months(name, SUMS[name], self.manifest.sums.get(name, {}), months)
+        """A table kept by month (see schemas.MONTHLY), or some of its months."""
+        return self._months(name, MONTHLY[name], self.manifest.sums.get(name, {}), months)
 
     def _months(self, name: str, ddl: str, at: dict[str, str], months: set[str] | None) -> DataFrame:
+        at = {month: version for month, version in at.items() if months is None or month in months}
+        return self._scan(name, ddl, at).select(StructType.fromDDL(ddl).names)
+
+    def _scan(self, name: str, ddl: str, at: dict[str, str]) -> DataFrame:
         # the schema is given because a partition folder's text would else read back zoned
         schema = StructType.fromDDL(f"{ddl}, version string")
         folder = f"{self.root}/{name}"
-        paths = [
-            f"{folder}/order_month={month}/version={version}"
-            for month, version in sorted(at.items())
-            if months is None or month in months
-        ]
+        paths = [f"{folder}/order_month={month}/version={version}" for month, version in sorted(at.items())]
         if not paths:
-            return self.spark.createDataFrame([], schema).drop("version")
-        reader = self.spark.read.schema(schema).option("basePath", folder)
-        return reader.parquet(*paths).select([c for c in schema.names if c != "version"])
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn("_metadata", F.struct(F.lit("").alias("file_name")))
+        return self.spark.read.schema(schema).option("basePath", folder).parquet(*paths)
 
     def sellers(self) -> DataFrame:
         schema = StructType.fromDDL(SELLERS_MART)
@@ -139,7 +177,7 @@ class MartStore:
         live = [self._version(n).manifest for n in names[-keep:]]
         for name in names[:-keep]:
             delete(self.spark, f"{self.root}/published/{name}.json")
-        for table in (ORDERS, *SUMS):
+        for table in (ORDERS, *MONTHLY):
             of = [m.months if table == ORDERS else m.sums.get(table, {}) for m in live]
             for folder in names_in(self.spark, f"{self.root}/{table}"):
                 month = folder.removeprefix("order_month=")
@@ -171,6 +209,9 @@ class MartStore:
     def sums(self, name: str) -> DataFrame:
         return self.current().sums(name)
 
+    def facts_of(self, seller_id: str) -> DataFrame:
+        return self.current().facts_of(seller_id)
+
     def query(self, sql: str, **values: object) -> DataFrame:
         """Read-only SQL over the marts, named {mart_orders_wide} and {mart_sellers_wide}."""
         version = self.current()

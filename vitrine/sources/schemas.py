@@ -105,5 +105,15 @@ SUMS = {
 }
 
 
+# What every seller sold, one row a seller and order, and what each file of it holds: the least and the
+# greatest seller, and one bit for the hash of each (see sources.marts).
+SELLER_FACTS = """
+    order_month timestamp_ntz, seller_id string, order_id string, purchased_at timestamp_ntz, order_status string,
+    seller_revenue decimal(38,3), seller_items bigint, delivery_days bigint, delay_days bigint, is_on_time boolean,
+    review_score int"""
+SELLER_FILES = "order_month timestamp_ntz, file string, least string, greatest string, bits binary"
+MONTHLY = SUMS | {"seller_facts": SELLER_FACTS, "seller_files": SELLER_FILES}
+
+
 def raw_schema(table: str) -> StructType:
     return StructType.fromDDL(RAW[table])
