@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -460,6 +461,18 @@ def test_held_out_languages(spark):
     assert np.mean([rows[d].lang_pred == lang[d] for d in held]) > 0.99
 
 
+def test_a_language_of_two_documents_is_learned(spark):
+    draw = random.Random(2)
+    text = lambda letters: " ".join("".join(draw.choices(letters, k=6)) for _ in range(40))
+    rows = [(k, text("abcdefg"), "aa") for k in range(300)] + [(1000 + k, text("hijklmn"), "bb") for k in range(300)]
+    outside = [k for k in range(5000, 5100) if zlib.crc32(str(k).encode()) % 4 != 2]
+    held = [k for k in range(6000, 6100) if zlib.crc32(str(k).encode()) % 4 == 2][:10]
+    for two in (outside[:2], outside[2:4], outside[4:6]):
+        docs = spark.createDataFrame(rows + [(k, text("opqrstu"), "cc") for k in two + held], "doc_id long, text string, lang string")
+        found = {r.doc_id: r.lang_pred for r in language.identify(docs).collect()}
+        assert all(found[k] == "cc" for k in held)
+
+
 def test_codewords_are_apart():
     for n in (2, 3, 4, 5, 12, 60):
         code = language.codewords(n)

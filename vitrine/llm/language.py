@@ -24,6 +24,7 @@ GRAM = 3
 BUCKETS = 1 << 16
 SAMPLE = 4000  # labelled documents a language, at most about
 MOST_BITS = 31
+CHECKED = 40  # labelled documents outside the held-out fold from which on a quarter of a language's checks the bits
 AMBIGUOUS = 0.8  # score below which a prediction is flagged
 UNKNOWN = "und"
 
@@ -79,13 +80,18 @@ def _folded(id_col: str) -> Column:
 
 
 def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> DataFrame:
-    """About `most` labelled documents a language outside the held-out fold, by hash of the id."""
+    """About `most` labelled documents a language outside the held-out fold, by hash of the id.
+
+    Languages of few documents are trained on all of them; the bits are then weighed on the others.
+    """
     labelled = docs.filter((_folded(id_col) != 2) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = stored(labelled.groupBy(F.col(lang_col).alias("of")).count(), "language-counts")
     share = F.lit(float(most)) / F.col("count")
     drawn = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    return drawn.join(counts, F.col("lang") == F.col("of")).filter(place < share).select("lang", "text", (F.xxhash64("doc_id", F.lit(7)) % 4 == 0).alias("checks"))
+    return drawn.join(counts, F.col("lang") == F.col("of")).filter(place < share).select(
+        "lang", "text", ((F.xxhash64("doc_id", F.lit(7)) % 4 == 0) & (F.col("count") >= CHECKED)).alias("checks")
+    )
 
 
 def _gram_counts(sample: DataFrame) -> DataFrame:
