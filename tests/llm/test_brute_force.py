@@ -1,7 +1,9 @@
 """Each operator against a plain version of what it has to find."""
 
 import collections
+import functools
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -156,11 +158,31 @@ def test_short_lines_of_an_unmarked_page():
 def shingles(text, n=5):
     w = WORD.findall(text or "")
     n = min(n, len(w))
-    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else set()
+    return collections.Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if w else {}
 
 
-def brute_classes(texts, least=0.8):
+def brute_weights(texts):
+    """The weighted shingles of each text: (1 + ln tf) (1 + ln N / df), df counted over kinds of texts."""
+
+    @functools.cache
+    def hashed(shingle):
+        data = np.frombuffer(" ".join(shingle).encode(), np.uint8)
+        return int(neardup.mixed(neardup.doc_shingles(data, np.array([0, len(data)]))[0])[0])
+
     own = {d: shingles(t) for d, t in texts.items()}
+    df = collections.defaultdict(set)
+    for s in own.values():
+        kind = min(map(hashed, s), default=None)
+        for shingle in s:
+            df[shingle].add(kind)
+    least = max(50, 0.02 * len(texts))
+    idf = {s: 1 + math.log(len(texts) / max(least, len(k))) for s, k in df.items()} if len(texts) >= least else dict.fromkeys(df, 1)
+    return {d: {x: (1 + math.log(n)) * idf[x] for x, n in s.items()} for d, s in own.items()}
+
+
+def brute_classes(texts, least=0.8):
+    own = brute_weights(texts)
+    total = {d: sum(s.values()) for d, s in own.items()}
     parent = {d: d for d in texts}
 
     def root(x):
@@ -171,8 +193,8 @@ def brute_classes(texts, least=0.8):
     ids = sorted(texts)
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            both = len(own[a] & own[b])
-            if texts[a] == texts[b] or (both and both >= least * (len(own[a]) + len(own[b]) - both)):
+            both = sum(min(own[a][x], own[b][x]) for x in own[a].keys() & own[b].keys())
+            if texts[a] == texts[b] or (both and both >= least * (total[a] + total[b] - both) * (1 - 1e-12)):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {d: root(d) for d in texts}
@@ -215,6 +237,29 @@ def test_families_of_three(spark):
     assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == wanted
 
 
+def test_what_all_share_makes_nothing_alike(spark):
+    pick = random.Random(11)
+    words = lambda n: [pick.choice("abcdefgh") + str(pick.randrange(10**9)) for _ in range(n)]
+    licence = words(100)
+    rows = {k: " ".join([*words(150), *licence]) for k in range(300)}
+    # little but the licence: 0.81 of the shingles of two such texts are the same
+    rows |= {k: " ".join([*words(11), *licence]) for k in (300, 301)}
+    # a group of near copies without it, and one with it, larger than all others
+    for first, passage in ((400, []), (600, licence)):
+        base = [*words(150), *passage]
+        for k in range(first, first + 150):
+            copy = list(base)
+            copy[pick.randrange(140)] = "changed" + str(k)
+            rows[k] = " ".join(copy)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    weights = brute_weights(rows)
+    rare, common = (weights[0][tuple(rows[0].split()[at : at + 5])] for at in (0, 200))
+    assert common < 0.7 * rare
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert found == brute_classes(rows)
+    assert found == {d: d if d < 400 else 400 if d < 600 else 600 for d in rows}
+
+
 def test_sampling_agrees_as_often_as_sets_are_alike():
     draw = np.random.default_rng(0)
     agreed = []
@@ -491,7 +536,8 @@ def test_pipeline(spark, texts):
         chars = sum(len("".join(WORD.findall(x))) for x in good)
         if not base_counts(text)[-1] and 100 * chars >= 50 * base_counts(text)[1]:
             kept[doc_id] = "\n".join(good)
-    kept = {d: t for d, t in kept.items() if brute_classes(kept)[d] == d}
+    classes = brute_classes(kept)
+    kept = {d: t for d, t in kept.items() if classes[d] == d}
     found = {r.doc_id for r in contract.queries()["op5_benchmark_items"](spark, SF).collect()}
     kept = {d: t for d, t in kept.items() if d not in found}
     documents = table[table.doc_id.isin(list(kept))].assign(text=lambda x: x.doc_id.map(kept))  # noqa: F841

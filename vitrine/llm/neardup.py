@@ -1,9 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-1. Shingles of five words weigh by their frequency in the document and, damped, by how many documents
-   have them. Document frequencies are exact where they matter: a shingle weighs less only if at least
-   HOT of all documents have it. A first pass over fixed buckets finds where such shingles can be, a
-   second counts them; there are at most (mean shingles a document) / HOT of them.
+1. Shingles of five words weigh by their frequency in the document, 1 + ln(tf), times their inverse document
+   frequency, 1 + ln(N / df), with df at least HOT of all documents (and LEAST_KINDS). Documents are counted by
+   kind: those that drew the same min-hash count once, so a large group of near copies does not make its own
+   text common, while a passage that unlike documents share is. Frequencies are exact where they matter: a first
+   pass over fixed buckets finds where shingles above HOT can be, a second counts them; there are at most
+   (mean shingles a document) / HOT of them.
 2. Consistent weighted samples are drawn for each document and banded.
 3. In a band's bucket every member is compared with the first document and with the most central one;
    no other pairs are made. Exact weighted Jaccard similarity decides.
@@ -30,7 +32,7 @@ SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
 HOT = 0.02  # share of documents from which a shingle weighs less
-DAMPING = 0.02  # what a shingle loses that all documents have
+LEAST_KINDS = 50  # kinds of documents from which a frequency says that a shingle is common
 _BUCKETS = 1 << 18
 _RANK_BITS = 20
 
@@ -155,30 +157,40 @@ def _hot_buckets(texts: DataFrame) -> np.ndarray:
     return may
 
 
+def kinds(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The min-hash of the document that each shingle is in; two documents agree in it as often as their sets are alike."""
+    sizes = np.diff(first)
+    filled = first[:-1][sizes > 0]
+    least = np.minimum.reduceat(mixed(shingles), filled) if len(filled) else np.zeros(0, np.uint64)
+    return np.repeat(least, sizes[sizes > 0])
+
+
 def document_frequencies(texts: DataFrame, least: float = HOT) -> tuple[int, DataFrame]:
-    """Number of documents, and (shingle, df) of the shingles that at least `least` of them have."""
+    """Number of documents, and (shingle, df) of the shingles that at least `least` of them, counted by kind, have."""
     may = texts.sparkSession.sparkContext.broadcast(_hot_buckets(texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
             for _, _, data, offsets in pieces(batch, 0):
-                shingles, _, _ = doc_shingles(data, offsets)
-                found.append(shingles[may.value[(shingles >> np.uint64(46)).astype(np.int64)]])
-            shingles, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64)), pa.array(counts.astype(np.int64))], names=["shingle", "df"])
+                shingles, _, first = doc_shingles(data, offsets)
+                kind = kinds(shingles, first)
+                hit = may.value[(shingles >> np.uint64(46)).astype(np.int64)]
+                shingles, kind = shingles[hit], kind[hit]
+                _, once = np.unique(shingles ^ mixed(kind + np.uint64(1)), return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x[once].view(np.int64)) for x in (shingles, kind)], names=["shingle", "kind"])
 
     n = texts.count()
-    counted = texts.mapInArrow(run, "shingle long, df long").groupBy("shingle").agg(F.sum("df").alias("df"))
-    return n, stored(counted.filter(F.col("df") >= max(2.0, least * n)), "hot-shingles")
+    counted = texts.mapInArrow(run, "shingle long, kind long").distinct().groupBy("shingle").agg(F.count("*").alias("df"))
+    return n, stored(counted.filter(F.col("df") >= max(LEAST_KINDS, least * n)), "hot-shingles")
 
 
 def shingle_weights(texts: DataFrame) -> Weights:
+    """Inverse document frequencies, as shares of the greatest one."""
     n, hot = document_frequencies(texts)
     rows = hot.toPandas().to_numpy(np.int64).reshape(-1, 2)
     shingles = rows[:, 0].copy().view(np.uint64)
     order = np.argsort(shingles)
-    idf = 1 - DAMPING * np.log(np.maximum(rows[:, 1] / (HOT * max(n, 1)), 1)) / np.log(1 / HOT)
+    idf = (1 + np.log(n / rows[:, 1])) / (1 + np.log(n / max(LEAST_KINDS, HOT * n))) if len(rows) else np.zeros(0)
     return Weights(shingles[order], idf[order])
 
 
