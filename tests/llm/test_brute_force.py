@@ -1,7 +1,6 @@
 """Each operator against a plain version of what it has to find."""
 
 import collections
-import functools
 import hashlib
 import math
 import random
@@ -164,15 +163,15 @@ def shingles(text, n=5):
 def brute_weights(texts):
     """The weighted shingles of each text: (1 + ln tf) (1 + ln N / df), df counted over kinds of texts."""
 
-    @functools.cache
-    def hashed(shingle):
-        data = np.frombuffer(" ".join(shingle).encode(), np.uint8)
-        return int(neardup.mixed(neardup.doc_shingles(data, np.array([0, len(data)]))[0])[0])
-
     own = {d: shingles(t) for d, t in texts.items()}
+    all_ = sorted({x for s in own.values() for x in s})
+    parts = [" ".join(x).encode() for x in all_]
+    ends = np.cumsum([0, *map(len, parts)])
+    drawn = neardup.mixed(neardup.doc_shingles(np.frombuffer(b"".join(parts), np.uint8), ends)[0])
+    hashed = dict(zip(all_, drawn.tolist(), strict=True))
     df = collections.defaultdict(set)
     for s in own.values():
-        kind = min(map(hashed, s), default=None)
+        kind = min(map(hashed.get, s), default=None)
         for shingle in s:
             df[shingle].add(kind)
     least = max(50, 0.02 * len(texts))
