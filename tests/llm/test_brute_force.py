@@ -259,6 +259,47 @@ def test_what_all_share_makes_nothing_alike(spark):
     assert found == {d: d if d < 400 else 400 if d < 600 else 600 for d in rows}
 
 
+def test_document_frequencies_of_all_shingles(spark):
+    pick = random.Random(23)
+    rows = [(k, " ".join(pick.choice("abc") for _ in range(pick.choice([0, 3, 30])))) for k in range(300)]
+    rows += [(k, "one text that stands here many times over") for k in range(300, 400)] + [(400, None), (401, "x" * 10)]
+    docs = spark.createDataFrame([(k, str(k), t) for k, t in rows], "doc_id long, key string, text string").repartition(3)
+    runs = neardup._runs(docs)
+    found = neardup.document_frequencies(runs, 256, 100)
+    hashes = lambda t: neardup.doc_shingles(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len(t or "")]))[0].tolist()
+    wanted = collections.Counter(x for _, t in rows for x in hashes(t))
+    assert {1, 100} < set(wanted.values())
+    parts = collections.defaultdict(dict)
+    for r in found.filter("run is not null").collect():
+        parts[r.run][r.part] = np.frombuffer(r.df, "<u4").tolist()
+    held = runs.collect()
+    assert sorted(d for r in held for d in r.doc_id) == [k for k, _ in rows]
+    for r in held:
+        own = sorted({x for t in r.text for x in hashes(t)})
+        assert [n for _, part in sorted(parts[r.run].items()) for n in part] == [wanted[x] for x in own]
+    many = [np.frombuffer(r.df, "<u8").tolist() for r in found.filter("run is null").collect()]
+    assert sorted(x for part in many for x in part) == sorted(x for x, n in wanted.items() if n >= 100)
+
+
+def test_rare_shingles_are_drawn_rather_than_frequent_ones():
+    words = [f"w{k}" for k in range(104)]
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ends = np.array([0, len(data)])
+    order = np.sort(neardup.doc_shingles(data, ends)[0])
+    rare = neardup.doc_shingles(data, ends)[0][:50]
+    df = np.where(np.isin(order, rare), 1, 1000)
+    agree = []
+    for seen in (rare, neardup.doc_shingles(data, ends)[0][50:]):
+        other = np.setdiff1d(order, seen)  # a text without these
+        weight = lambda x: 1 + np.log(1000 / df[np.searchsorted(order, x)])
+        a, b = (neardup.samples(x, weight(x), np.array([0]), 400) for x in (order, other))
+        agree.append((a == b).mean())
+    assert agree[0] < 0.2 < 0.8 < agree[1]
+    _, bands = neardup._bands(data, ends, df, 1000)
+    _, flat = neardup._bands(data, ends, np.ones_like(df), 1000)
+    assert (bands != flat).any()
+
+
 def test_sampling_agrees_as_often_as_sets_are_alike():
     draw = np.random.default_rng(0)
     agreed = []

@@ -1,14 +1,15 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 1. Shingles of five words weigh by their frequency in the document, 1 + ln(tf), times their inverse document
-   frequency, 1 + ln(N / df), with df at least HOT of all documents (and LEAST_KINDS). Documents are counted by
-   kind: those that drew the same min-hash count once, so a large group of near copies does not make its own
-   text common, while a passage that unlike documents share is. Frequencies are exact where they matter: a first
-   pass over fixed buckets finds where shingles above HOT can be, a second counts them; there are at most
-   (mean shingles a document) / HOT of them.
-2. Consistent weighted samples are drawn for each document and banded.
+   frequency, 1 + ln(N / df). Every shingle's df is exact and counts every document that has it. Documents are
+   packed into runs; each run sends its shingles to the parts of the hash range, the parts count them, and each
+   part sends the counts back to the runs in the order the shingles came in, so the shingles travel once.
+2. Consistent weighted samples are drawn for each document by these weights and banded.
 3. In a band's bucket every member is compared with the first document and with the most central one;
-   no other pairs are made. Exact weighted Jaccard similarity decides.
+   no other pairs are made. An exact check decides: weighted Jaccard similarity, in which only what more than HOT
+   of the documents (and LEAST_KINDS) share weighs less, documents counted by kind: those that drew the same
+   min-hash count once. So a large group of near copies keeps its links, while a passage that unlike documents
+   share makes none.
 4. Buckets of three or more texts that still hold more than one class are finished exactly: documents of
    different classes that could be similar enough share one of the shingles that come first in a common
    order (prefix filter, rare shingles first), and such pairs are compared too. A bucket of two is one pair.
@@ -21,19 +22,23 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vitrine.llm.arrays import map_texts, mixed, pieces, shingle_hashes, word_hashes, words
+from vitrine.llm.arrays import mixed, pieces, shingle_hashes, word_hashes, words
 from vitrine.llm.components import components
 from vitrine.llm.storage import stored
 
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
-BANDS, ROWS = 12, 3
-HOT = 0.02  # share of documents from which a shingle weighs less
+BANDS, ROWS = 20, 3
+HOT = 0.02  # share of documents from which a shingle weighs less in the exact check
 LEAST_KINDS = 50  # kinds of documents from which a frequency says that a shingle is common
-_BUCKETS = 1 << 18
+_PART_BYTES = 12 << 20  # of text whose shingles one part of the hash range counts
+_LEAST_PARTS, _MOST_PARTS = 1 << 8, 1 << 16
 _RANK_BITS = 20
 
 
@@ -113,13 +118,18 @@ def samples(shingles: np.ndarray, weights: np.ndarray, first: np.ndarray, n: int
     return out
 
 
-def _bands(data: np.ndarray, offsets: np.ndarray, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """Documents that have shingles, and their band hashes."""
+def _bands(data: np.ndarray, offsets: np.ndarray, frequencies: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Documents that have shingles, and their band hashes.
+
+    `frequencies`: in how many of `n` documents each shingle is, for the distinct ones in ascending order.
+    """
     shingles, counts, first = doc_shingles(data, offsets)
     filled = np.flatnonzero(np.diff(first) > 0)
     if not len(filled):
         return filled, np.zeros((0, BANDS), np.int64)
-    drawn = samples(shingles, weights.of(shingles, counts), first[filled], BANDS * ROWS)
+    _, at = np.unique(shingles, return_inverse=True)
+    weights = (1 + np.log(counts)) * (1 + np.log(n / frequencies))[at]
+    drawn = samples(shingles, weights, first[filled], BANDS * ROWS)
     bands = np.empty((len(filled), BANDS), np.int64)
     for b in range(BANDS):
         h = np.full(len(filled), b + 1, np.uint64)
@@ -132,29 +142,105 @@ def _bands(data: np.ndarray, offsets: np.ndarray, weights: Weights) -> tuple[np.
 # --- document frequencies -------------------------------------------------------------------------
 
 
-def _hot_buckets(texts: DataFrame) -> np.ndarray:
-    """Buckets of shingles that may hold a hot one, as a table of fixed size.
-
-    A task leaves out buckets below half of HOT of its own documents, so at least half of what a hot
-    shingle has is counted.
-    """
+def _runs(docs: DataFrame) -> DataFrame:
+    """(run, docs, text) of (doc_id, key, text): documents in runs of bounded size, one row a run."""
+    fields = docs.schema.fields
+    schema = T.StructType(
+        [T.StructField("run", T.LongType()), *[T.StructField(f.name, T.ArrayType(f.dataType)) for f in fields]]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros(_BUCKETS, np.int64), 0
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            n += batch.num_rows
-            for _, _, data, offsets in pieces(batch, 0):
-                shingles, _, _ = doc_shingles(data, offsets)
-                counts += np.bincount((shingles >> np.uint64(46)).astype(np.int64), minlength=_BUCKETS)
-        hit = np.flatnonzero(counts > HOT / 2 * n)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(hit, -1)), pa.array(np.append(counts[hit], n))], names=["bucket", "n"])
+            for i, j, _, _ in pieces(batch, 2):
+                number += 1
+                bounds = pa.array([0, j - i], pa.int32())
+                lists = [pa.ListArray.from_arrays(bounds, column.slice(i, j - i)) for column in batch.columns]
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], names=["run", *batch.schema.names])
+
+    # a row is about a megabyte, so a group of rows is kept smaller than usual
+    return stored(docs.mapInArrow(run, schema), "near-runs", compression="zstd", **{"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 8})
+
 
-    sums = stored(texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")), "shingle-buckets")
-    total = sums.filter("bucket = -1").first()
-    may = np.zeros(_BUCKETS, bool)
-    if total:
-        may[[r[0] for r in sums.filter((F.col("bucket") >= 0) & (F.col("n") >= HOT / 2 * total["n"])).select("bucket").collect()]] = True
-    return may
+def _texts_of(run: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a run's texts one after another, and their offsets."""
+    _, _, data, offsets = next(pieces(pa.RecordBatch.from_arrays([run], names=["text"]), 0))
+    return data, offsets
+
+
+def _split(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of rows of `values` as binaries, cut at these rows."""
+    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    return pa.Array.from_buffers(
+        pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+
+
+def document_frequencies(runs: DataFrame, parts: int, common: float) -> DataFrame:
+    """(run, part, df): for each run, in how many documents its shingles are; stored.
+
+    `df` has 32 bits for each distinct shingle of the run whose hash lies in that part of the range (`parts`, a
+    power of two), in ascending order. A shingle travels as its lower 56 bits: the part gives the others.
+    A row without a run has, as 64 bits each, the shingles of the part that `common` documents or more have.
+    """
+    shift = 64 - (parts.bit_length() - 1)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                shingles, _, _ = doc_shingles(*_texts_of(batch.column(1)[i].values))
+                own, counts = np.unique(shingles, return_counts=True)
+                part, cuts = np.unique((own >> np.uint64(shift)).astype(np.int32), return_index=True)
+                cuts = np.append(cuts, len(own))
+                low = own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+                row = pa.array(np.full(len(part), batch.column(0)[i].as_py(), np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [row, pa.array(part), _split(low, cuts), _split(counts.astype("<u4"), cuts)], names=["run", "part", "low", "n"]
+                )
+
+    def count(rows: pa.Table) -> pa.Table:
+        part = rows["part"][0].as_py()
+        cuts = np.cumsum([0, *pc.binary_length(rows["n"]).to_numpy()]) // 4
+        low = np.zeros((cuts[-1], 8), np.uint8)
+        low[:, :7] = np.frombuffer(b"".join(rows["low"].to_pylist()), np.uint8).reshape(-1, 7)
+        n = np.frombuffer(b"".join(rows["n"].to_pylist()), "<u4")
+        own, at = np.unique(low.view("<u8").ravel(), return_inverse=True)
+        df = np.bincount(at, n).astype("<u4")
+        top = (np.uint64(part) << np.uint64(shift)) & np.uint64(0xFF << 56)
+        many = (own[df >= common] | top).astype("<u8")
+        dfs = _split(df[at], cuts).to_pylist()
+        return pa.table(
+            {"run": pa.array([*rows["run"].to_pylist(), None], pa.int64()), "part": pa.array([part] * (len(dfs) + 1), pa.int32()),
+             "df": pa.array([*dfs, many.tobytes()], pa.binary())}
+        )
+
+    sent = runs.select("run", "text").mapInArrow(spread, "run long, part int, low binary, n binary")
+    return stored(sent.groupBy("part").applyInArrow(count, "run long, part int, df binary"), "document-frequencies")
+
+
+def _parts(n_bytes: int) -> int:
+    """Parts of the hash range, so that each has about as many shingles at every size."""
+    return min(max(_LEAST_PARTS, 1 << (max(1, n_bytes // _PART_BYTES)).bit_length()), _MOST_PARTS)
+
+
+def _signatures(docs: DataFrame, runs: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """doc_id, key and bands of the `n` documents (doc_id, key, text)."""
+    schema = T.StructType([*docs.schema.fields[:2], T.StructField("bands", T.ArrayType(T.LongType()))])
+
+    def sign(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, keys, text = (left[c][0].values for c in ("doc_id", "key", "text"))
+        df = np.frombuffer(b"".join(right.sort_by("part")["df"].to_pylist()), "<u4")
+        filled, bands = _bands(*_texts_of(text), df, n)
+        sizes = np.zeros(len(ids), np.int64)
+        sizes[filled] = BANDS
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(bands.ravel()))
+        return pa.table([ids, keys, lists], names=["doc_id", "key", "bands"])
+
+    both = runs.groupBy("run").cogroup(found.filter(F.col("run").isNotNull()).groupBy("run"))
+    return stored(both.applyInArrow(sign, schema), "near-signatures")
+
+
+# --- what many documents share --------------------------------------------------------------------
 
 
 def kinds(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -165,35 +251,38 @@ def kinds(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.repeat(least, sizes[sizes > 0])
 
 
-def document_frequencies(texts: DataFrame, least: float = HOT) -> tuple[int, DataFrame]:
-    """Number of documents, and (shingle, df) of the shingles that at least `least` of them, counted by kind, have."""
-    may = texts.sparkSession.sparkContext.broadcast(_hot_buckets(texts))
+def shingle_weights(texts: DataFrame, n: int, found: DataFrame) -> Weights:
+    """The shingles that weigh less in the exact check, of which as many kinds of documents as `_common` have it."""
+    rows = found.filter(F.col("run").isNull()).select("df").toArrow()["df"].to_pylist()
+    many = np.sort(np.frombuffer(b"".join(rows), "<u8").astype(np.uint64))
+    if not len(many):
+        return Weights(many, np.zeros(0))
+    may = texts.sparkSession.sparkContext.broadcast(many)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in pieces(batch, 0):
                 shingles, _, first = doc_shingles(data, offsets)
                 kind = kinds(shingles, first)
-                hit = may.value[(shingles >> np.uint64(46)).astype(np.int64)]
+                spot = np.minimum(np.searchsorted(may.value, shingles), len(may.value) - 1)
+                hit = may.value[spot] == shingles
                 shingles, kind = shingles[hit], kind[hit]
                 _, once = np.unique(shingles ^ mixed(kind + np.uint64(1)), return_index=True)
                 yield pa.RecordBatch.from_arrays([pa.array(x[once].view(np.int64)) for x in (shingles, kind)], names=["shingle", "kind"])
 
-    n = texts.count()
     counted = texts.mapInArrow(run, "shingle long, kind long").distinct().groupBy("shingle").agg(F.count("*").alias("df"))
-    return n, stored(counted.filter(F.col("df") >= max(LEAST_KINDS, least * n)), "hot-shingles")
-
-
-def shingle_weights(texts: DataFrame) -> Weights:
-    """Inverse document frequencies, as shares of the greatest one."""
-    n, hot = document_frequencies(texts)
-    rows = hot.toPandas().to_numpy(np.int64).reshape(-1, 2)
+    rows = counted.filter(F.col("df") >= _common(n)).toPandas().to_numpy(np.int64).reshape(-1, 2)
     shingles = rows[:, 0].copy().view(np.uint64)
     order = np.argsort(shingles)
-    idf = (1 + np.log(n / rows[:, 1])) / (1 + np.log(n / max(LEAST_KINDS, HOT * n))) if len(rows) else np.zeros(0)
+    idf = (1 + np.log(n / rows[:, 1])) / (1 + np.log(n / _common(n))) if len(rows) else np.zeros(0)
     return Weights(shingles[order], idf[order])
 
 
+def _common(n: int) -> float:
+    """How many of `n` documents have a shingle that is common."""
+    return max(LEAST_KINDS, HOT * n)
+
+
 # --- comparisons ----------------------------------------------------------------------------------
 
 
@@ -342,18 +431,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """doc_id, key (digest of the text, null for null) and label (of its class) for every row of `docs`, stored."""
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).alias("doc_id"), F.md5(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    weights = spark.sparkContext.broadcast(shingle_weights(own.select("text")))
-
-    def run(batch: pa.RecordBatch) -> list[pa.Array]:
-        flat, sizes = [], np.zeros(batch.num_rows, np.int64)
-        for i, _, data, offsets in pieces(batch, 2):
-            filled, bands = _bands(data, offsets, weights.value)
-            sizes[i + filled] = BANDS
-            flat.append(bands.ravel())
-        offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-        return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*flat, np.zeros(0, np.int64)])))]
-
-    signed = stored(map_texts(own, ["doc_id", "key"], "text", "bands array<long>", run), "near-signatures")
+    n, n_bytes = own.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    runs = _runs(own)
+    found = document_frequencies(runs, _parts(n_bytes), _common(n))
+    weights = spark.sparkContext.broadcast(shingle_weights(own.select("text"), n, found))
+    signed = _signatures(own, runs, found, n)
     texts = stored(
         signed.filter("size(bands) > 0").groupBy("key").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands")), "near-texts"
     )

@@ -35,14 +35,14 @@ def folder_for(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark, local)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+def stored(df: DataFrame, name: str, by: Sequence[str] = (), **options) -> DataFrame:
     """`df` written to the shared folder, in one folder for each value of `by`, and read back.
 
     A lost executor then costs no more than the tasks after this point, what reads the table twice
     does not compute it twice, and Spark knows its size when it plans a join.
     """
     folder = folder_for(df.sparkSession, name)
-    df.write.partitionBy(*by).parquet(folder)
+    df.write.options(**options).partitionBy(*by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
