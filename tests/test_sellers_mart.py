@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 
 from tests.frames import item, one, order, raw_layer, review
+from vitrine.operators import day_sums, followups, sellers_mart
 from vitrine.plans.datasets import Datasets
 
 
@@ -89,3 +90,25 @@ def test_seller_listed_twice_is_one_row_of_doubled_totals(spark):
     )
     row = one(d.mart_sellers_wide)
     assert (row.total_orders, row.total_revenue, row.avg_delivery_days) == (2, 20, 5.0)
+
+
+def test_seller_orders_of_facts_are_those_of_items(spark):
+    by = ("order_month", "day")
+    d = datasets(
+        spark,
+        orders=[order("a"), order("a"), order("b", order_status="shipped"), order("c", order_delivered_customer_date=None)],
+        order_items=[
+            *(item("a", s, 2.5 * n, n) for s in ("s", "t") for n in (1, 2)),
+            item("b", "s", 7.0), item("c", "t", 3.0), item("none", "t", 4.0), item("a", None, 5.0),
+        ],
+        order_reviews=[review("a", 4)],
+    )
+    items = d.stg_order_items.filter("seller_id is not null")
+    wanted = sellers_mart.seller_orders(items, day_sums.day_of(d.mart_orders_wide), by)
+    facts = day_sums.day_of(followups.seller_facts(d.stg_order_items, d.mart_orders_wide))
+    found = sellers_mart.seller_orders_of(facts, by)
+    assert found.dtypes == wanted.dtypes
+    assert sorted(found.collect()) == sorted(wanted.select(found.columns).collect())
+    totals = day_sums.day_sellers(found)
+    assert totals.filter("seller_id = 's'").first().revenue == 15
+    assert totals._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 1 + facts._jdf.queryExecution().executedPlan().toString().count("Exchange")

@@ -42,6 +42,22 @@ def seller_orders(items: DataFrame, orders_mart: DataFrame, by: tuple[str, ...]
     )
 
 
+def seller_orders_of(facts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """seller_orders of stored facts, one row a seller and copy of an order; `by` must hold the day.
+
+    The one shuffle, by seller and `by`, serves the sums over these too. A large seller is spread over their days.
+    """
+    own = facts.filter(F.col("order_status") == "delivered").repartition(*by, "seller_id")
+    return own.groupBy("seller_id", "order_id", *by).agg(
+        F.sum("seller_revenue").cast(MONEY_SUM).alias("order_revenue"),
+        F.sum("seller_items").alias("items_count"),
+        F.max("delivery_days").alias("delivery_days"),
+        F.max("delay_days").alias("delay_days"),
+        F.max(F.col("is_on_time").cast("int")).alias("is_on_time"),
+        F.max("review_score").alias("review_score"),
+    )
+
+
 # averaged columns of seller_orders: a total and a count each, so that they can be summed twice
 _AVERAGED = ["delivery_days", "delay_days", "review_score"]
 

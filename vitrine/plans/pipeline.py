@@ -100,9 +100,10 @@ def build(spark: SparkSession, raw: RawReader, store: MartStore, at: dict[str, i
     plain = Datasets(spark, raw)
     orders, order_results = _watched_orders(plain.mart_orders_wide)
     version.write_orders(orders)
-    rollup = sellers_mart.seller_orders(plain.stg_order_items, day_sums.day_of(version.orders()), _BY_DAY)
-    _write_sums(version, version.orders(), day_sums.day_sellers(rollup))
     version.write_facts(followups.seller_facts(plain.stg_order_items, version.orders()))
+    # the items have met their orders in the facts, so they are not joined again
+    rollup = sellers_mart.seller_orders_of(day_sums.day_of(version.sums("seller_facts")), _BY_DAY)
+    _write_sums(version, version.orders(), day_sums.day_sellers(rollup))
     _write_sellers(version, plain.stg_sellers, store, order_results)
     return Datasets(spark, raw, store)
 
@@ -232,7 +233,7 @@ def refresh(spark: SparkSession, raw_dir: str, store: MartStore) -> Datasets:
     come = version.orders(version.written()).join(ids, "order_id", "left_semi").select(stay.columns)
     sold = [
         day_sums.day_sellers(
-            sellers_mart.seller_orders(staging.order_items(raw("order_items")), day_sums.day_of(orders), _BY_DAY)
+            sellers_mart.seller_orders(_with_seller(raw), day_sums.day_of(orders), _BY_DAY)
         )
         for raw, orders in ((before, gone), (after, come))
     ]
@@ -245,6 +246,10 @@ def refresh(spark: SparkSession, raw_dir: str, store: MartStore) -> Datasets:
     return Datasets(spark, changes.read(changes.now), store)
 
 
+def _with_seller(raw: RawReader) -> DataFrame:
+    return staging.order_items(raw("order_items")).filter(F.col("seller_id").isNotNull())
+
+
 def _kept(df: DataFrame, store: MartStore, version: MartVersion, name: str) -> DataFrame:
     """A table written beside the marts for the time of a refresh; the next prune takes it."""
     folder = f"{store.root}/{WORK}/version={version.name}/{name}"

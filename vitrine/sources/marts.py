@@ -95,7 +95,7 @@ class MartVersion:
         rows = rows.hint("rebalance", "order_month") if deal else rows
         rows.withColumn("version", F.lit(self.name)).write.mode("append").partitionBy(
             "order_month", "version"
-        ).parquet(folder)
+        ).parquet(folder, compression="zstd")
         own = f"version={self.name}"
         found = [n for n in names_in(self.spark, folder) if n.startswith("order_month=")]
         return {
@@ -109,7 +109,7 @@ class MartVersion:
                 table.pop(month, None)
 
     def write_sellers(self, mart: DataFrame) -> None:
-        mart.hint("rebalance").write.parquet(f"{self.root}/{SELLERS}/version={self.name}")
+        mart.hint("rebalance").write.parquet(f"{self.root}/{SELLERS}/version={self.name}", compression="zstd")
         self.manifest.sellers = self.name
 
     def written(self) -> set[str]:
