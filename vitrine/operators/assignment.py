@@ -10,24 +10,33 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.followups import dated_pairs
 from vitrine.operators.orders_mart import plain_key
+from vitrine.operators.sketch import perhaps_among, perhaps_repeated, sketch_of
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
 LEAST_LETTERS = 4  # of a word of a category's name that a review may use
 
 
-def candidates(reviews: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+def candidates(
+    reviews: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame, keep: Keep = lambda df, name: df
+) -> DataFrame:
     """The pairs that compete: all reviews of the orders that some review under several orders names.
 
     A pair is better if the order was delivered before the review, then if the review uses a word of the
     name of a category that was bought, then by days between them.
+
+    These orders are few. Rows of reviews, orders and items that a sketch of them rules out are not shuffled.
     """
     named = reviews.filter(F.col("review_id").isNotNull() & F.col("order_id").isNotNull())
+    known = perhaps_repeated(named, "review_id").select("review_id", "order_id").distinct()
+    several = known.groupBy("review_id").agg(F.count("*").alias("n")).filter("n > 1").select("review_id")
+    wanted = known.join(plain_key(several, "review_id", "of"), F.col("review_id") == F.col("of"), "left_semi")
+    wanted = keep(plain_key(wanted.select("order_id").distinct(), "order_id", "wanted"), "wanted")
+    words = sketch_of(wanted, "wanted")
+    named, orders, items = (perhaps_among(rows, "order_id", words) for rows in (named, orders, items))
+
     text = F.lower(F.concat_ws(" ", "review_comment_title", "review_comment_message"))
     pairs = named.groupBy("review_id", "order_id").agg(F.min("review_created_at").alias("reviewed_at"), F.max(text).alias("text"))
-    several = pairs.groupBy("review_id").agg(F.count("*").alias("n")).filter("n > 1").select("review_id")
-    wanted = pairs.join(plain_key(several, "review_id", "of"), F.col("review_id") == F.col("of"), "left_semi")
-    wanted = plain_key(wanted.select("order_id").distinct(), "order_id", "wanted")
     pairs = pairs.join(wanted, F.col("order_id") == F.col("wanted"), "left_semi")
 
     bought = items.join(wanted, F.col("order_id") == F.col("wanted"), "left_semi").select("order_id", "product_id").distinct()
@@ -82,7 +91,7 @@ def review_assignment(
 
     All is null where other reviews took its orders. `candidates` counts its orders.
     """
-    pairs = keep(candidates(reviews, orders, items, products), "candidates")
+    pairs = keep(candidates(reviews, orders, items, products, keep), "candidates")
     several = pairs.groupBy("review_id").agg(F.count("*").alias("candidates")).filter("candidates > 1")
     own = pairs.join(assigned(pairs, keep), ["review_id", "order_id"])
     return several.join(plain_key(own, "review_id", "of"), F.col("review_id") == F.col("of"), "left").drop("of")

@@ -15,6 +15,7 @@ from vitrine.functions.numeric import half_away, money_or_zero, money_sum, perce
 from vitrine.operators.kpis import satisfaction_aggregates
 from vitrine.operators.orders_mart import best_reviews, delivery_columns, plain_key
 from vitrine.operators.quality import result_row
+from vitrine.operators.sketch import perhaps_among, perhaps_repeated, sketch_of
 
 # --- quality -----------------------------------------------------------------------------------
 
@@ -129,11 +130,11 @@ def review_order_match(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     before and no other candidate is as near in days. One row a review id and order; equal
     candidates are ordered by id.
     """
-    pairs = reviews.filter(F.col("review_id").isNotNull() & F.col("order_id").isNotNull())
+    pairs = perhaps_repeated(reviews.filter(F.col("review_id").isNotNull() & F.col("order_id").isNotNull()), "review_id")
     pairs = pairs.groupBy("review_id", "order_id").agg(F.min("review_created_at").alias("reviewed_at"))
     several = pairs.groupBy("review_id").agg(F.count("order_id").alias("candidates")).filter("candidates > 1")
     own = pairs.join(plain_key(several, "review_id", "of"), F.col("review_id") == F.col("of"), "left_semi")
-    own = dated_pairs(own, orders)
+    own = dated_pairs(own, perhaps_among(orders, "order_id", sketch_of(own, "order_id")))
     rank = F.struct((~F.col("after_delivery")).alias("late"), F.coalesce("days_apart", F.lit(2**40)).alias("apart"))
     ties = own.groupBy("review_id", rank.alias("rank")).agg(F.count("order_id").alias("n"), F.min("order_id").alias("least"))
     best = ties.groupBy("review_id").agg(F.min(F.struct("rank", "least", "n")).alias("best"))
