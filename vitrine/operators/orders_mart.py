@@ -24,15 +24,17 @@ def best_reviews(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("order_id").agg(*_totals("reviews"))
 
 
-def delivery_columns() -> list[Column]:
+def delivery_columns(
+    bought: str = "order_purchase_at",
+    delivered: str = "order_delivered_customer_at",
+    promised: str = "order_estimated_delivery_at",
+) -> list[Column]:
     """Days count midnights while punctuality compares full timestamps.
 
     An order delivered in the course of the promised day thus has no delay and is not on time.
     All three are null when a date they need is missing, so orders in transit are not late.
     """
-    bought = F.col("order_purchase_at")
-    delivered = F.col("order_delivered_customer_at")
-    promised = F.col("order_estimated_delivery_at")
+    bought, delivered, promised = F.col(bought), F.col(delivered), F.col(promised)
     overdue = calendar_days(promised, delivered)
     return [
         calendar_days(bought, delivered).alias("delivery_days"),
@@ -88,7 +90,8 @@ def plain_key(df: DataFrame, key: str, name: str) -> DataFrame:
     A join on it then has a plain shuffle on this side too, which is the form in which adaptive
     execution splits a hot key of the other side.
     """
-    return df.withColumn(name, F.concat(F.col(key), F.lit(""))).drop(key)
+    nothing = b"" if dict(df.dtypes)[key] == "binary" else ""
+    return df.withColumn(name, F.concat(F.col(key), F.lit(nothing))).drop(key)
 
 
 def order_totals(**parts: DataFrame) -> DataFrame:
@@ -117,12 +120,26 @@ def with_totals(orders: DataFrame, **parts: DataFrame) -> DataFrame:
     return known.unionByName(orders.filter(F.col("order_id").isNull()).select("*", *missing))
 
 
+_DERIVED = ["delivery_days", "delay_days", "is_on_time", "recognized_revenue"]
+
+
+def underived(mart: DataFrame) -> DataFrame:
+    """The whole mart without what `derived` adds again, for a shuffle."""
+    return mart.drop(*_DERIVED)
+
+
+def derived(mart: DataFrame, columns: list[str]) -> DataFrame:
+    """`columns` of the whole mart, of which some are computed from the others."""
+    days = delivery_columns("purchased_at", "delivered_at", "estimated_delivery_at")
+    return mart.select("*", *days, recognized(F.col("total_payment"))).select(*columns)
+
+
 def orders_mart(orders: DataFrame, customers: DataFrame, **parts: DataFrame) -> DataFrame:
     """The orders mart with the columns that the given `parts` (items, payments, reviews) fill.
 
     Left joins only, so each order stays exactly once while the key of `customers` is unique.
-    Customers come last; their join keeps a shuffle on either side, which is the form in which
-    adaptive execution splits a customer with very many orders.
+    Customers come first, as orders are narrow then; their join keeps a shuffle on either side, which
+    is the form in which adaptive execution splits a customer with very many orders.
     """
     places = customers.select(
         "customer_id",
@@ -139,8 +156,7 @@ def orders_mart(orders: DataFrame, customers: DataFrame, **parts: DataFrame) ->
     if "reviews" in parts:
         reviews = [F.col("review_score")]
     return (
-        with_totals(orders, **parts)
-        .join(places, "customer_id", "left")
+        with_totals(orders.join(places, "customer_id", "left"), **parts)
         .select(
             "order_id",
             "customer_id",

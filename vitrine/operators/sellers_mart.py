@@ -42,12 +42,28 @@ def seller_orders(items: DataFrame, orders_mart: DataFrame, by: tuple[str, ...]
     )
 
 
-def seller_orders_of(facts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def seller_orders_of(facts: DataFrame, by: tuple[str, ...] = (), copies: bool = True) -> DataFrame:
     """seller_orders of stored facts, one row a seller and copy of an order; `by` must hold the day.
 
-    The one shuffle, by seller and `by`, serves the sums over these too. A large seller is spread over their days.
+    The one shuffle, by ranges of seller and `by`, serves the sums over these too, and rows of one month stay
+    together for the table that is written of them. A large seller is spread over their days. `copies`: not where
+    ids of orders are known to be unique: each fact is an order then, and in place of its id only a mark is shuffled.
     """
-    own = facts.filter(F.col("order_status") == "delivered").repartition(*by, "seller_id")
+    own = facts.filter(F.col("order_status") == "delivered")
+    ranges = [*by[:1], "seller_id", *by[1:]]
+    if not copies:
+        return own.select(
+            "seller_id",
+            F.when(F.col("order_id").isNotNull(), F.lit("")).alias("order_id"),
+            *by,
+            F.col("seller_revenue").cast(MONEY_SUM).alias("order_revenue"),
+            F.col("seller_items").alias("items_count"),
+            "delivery_days",
+            "delay_days",
+            F.col("is_on_time").cast("int").alias("is_on_time"),
+            "review_score",
+        ).repartitionByRange(*ranges)
+    own = own.repartitionByRange(*ranges)
     return own.groupBy("seller_id", "order_id", *by).agg(
         F.sum("seller_revenue").cast(MONEY_SUM).alias("order_revenue"),
         F.sum("seller_items").alias("items_count"),

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.dates import month_start
 from vitrine.functions.fixed_values import ORDER_STATUSES, RAW_FILES
+from vitrine.functions.short_ids import short_ids
 from vitrine.operators import day_sums, followups, quality, sellers_mart, staging
 from vitrine.plans.datasets import Datasets
-from vitrine.session import build_session, shared_folder
+from vitrine.session import build_session, shared_folder, shuffles_removed
 from vitrine.sources.files import names_in
 from vitrine.sources.keyed import KeyedTable, Snapshot
 from vitrine.sources.marts import WORK, Manifest, MartStore, MartVersion, month_of
@@ -68,18 +69,22 @@ def _watched_sellers(mart: DataFrame) -> tuple[DataFrame, Callable]:
     return observed(mart, "mart_sellers_wide", {"key": ("seller_id", "not_null", missing)})
 
 
+def _unique(rows: DataFrame, mart: str, key: str) -> list[Row]:
+    return quality.unique_test(short_ids(rows.select(key)), mart, key).collect()  # one row
+
+
+def _unique_orders(version: MartVersion) -> list[Row]:
+    return _unique(version.orders(version.written()), "mart_orders_wide", "order_id")
+
+
 def _publish(store: MartStore, version: MartVersion, results: list[Row]) -> None:
     """Publishes a version whose rows passed while they were written, if its keys are unique too.
 
-    Uniqueness is read from what this version wrote, the key columns only; an order of a month that it
-    did not write is none of those that it changed. A build that fails is never seen; its folders go when
-    the store is pruned.
+    `results` has the uniqueness of orders already. It is read from what this version wrote, the key columns
+    only; an order of a month that it did not write is none of those that it changed. A build that fails is
+    never seen; its folders go when the store is pruned.
     """
-    for mart, rows, key in (
-        ("mart_orders_wide", version.orders(version.written()), "order_id"),
-        ("mart_sellers_wide", version.sellers(), "seller_id"),
-    ):
-        results = [*results, *quality.unique_test(rows, mart, key).collect()]  # one row
+    results = [*results, *_unique(version.sellers(), "mart_sellers_wide", "seller_id")]
     if not all(r.passed for r in results):
         raise RejectedBuild(results)
     store.publish(version)
@@ -96,36 +101,44 @@ def build(spark: SparkSession, raw: RawReader, store: MartStore, at: dict[str, i
     when they are whole and have passed their tests; until then readers have the old pair. `at` are the
     numbers of the raw snapshots that `raw` reads, for a later refresh to go on from.
     """
-    version = store.new_version(Manifest(raw=at or {}))
-    plain = Datasets(spark, raw)
-    orders, order_results = _watched_orders(plain.mart_orders_wide)
-    version.write_orders(orders)
-    version.write_facts(followups.seller_facts(plain.stg_order_items, version.orders()))
-    # the items have met their orders in the facts, so they are not joined again
-    rollup = sellers_mart.seller_orders_of(day_sums.day_of(version.sums("seller_facts")), _BY_DAY)
-    _write_sums(version, version.orders(), day_sums.day_sellers(rollup))
-    _write_sellers(version, plain.stg_sellers, store, order_results)
+    with shuffles_removed(spark):
+        version = store.new_version(Manifest(raw=at or {}))
+        plain = Datasets(spark, raw)
+        short = Datasets(spark, lambda table: short_ids(raw(table)))  # what is shuffled has short ids
+        orders, order_results = _watched_orders(short.mart_orders_wide)
+        version.write_orders(orders)
+        unique = _unique_orders(version)
+        copies = not all(r.passed for r in unique)
+        facts = followups.seller_facts(short.stg_order_items, short_ids(version.orders()), copies)
+        version.write_facts(facts, deal=False)
+        # the items have met their orders in the facts, so they are not joined again
+        facts = day_sums.day_of(short_ids(version.sums("seller_facts")))
+        sellers = day_sums.day_sellers(sellers_mart.seller_orders_of(facts, _BY_DAY, copies))
+        _write_sums(version, version.orders(), sellers, deal=False)
+        _write_sellers(version, plain.stg_sellers, store, order_results, unique)
     return Datasets(spark, raw, store)
 
 
 _BY_DAY = ("order_month", "day")
 
 
-def _write_sums(version: MartVersion, orders: DataFrame, sellers: DataFrame) -> None:
+def _write_sums(version: MartVersion, orders: DataFrame, sellers: DataFrame, deal: bool = True) -> None:
     """The tables of sums of the months that the version writes; those by month are read off those by day."""
     version.write_sums("day_states", day_sums.day_states(orders))
-    version.write_sums("day_sellers", sellers)
+    version.write_sums("day_sellers", sellers, deal)
     months = version.written()
     version.write_sums("month_states", day_sums.month_states(version.sums("day_states", months)))
-    version.write_sums("month_sellers", day_sums.month_sellers(version.sums("day_sellers", months)))
+    version.write_sums("month_sellers", day_sums.month_sellers(short_ids(version.sums("day_sellers", months))))
 
 
-def _write_sellers(version: MartVersion, sellers: DataFrame, store: MartStore, order_results: Callable) -> None:
+def _write_sellers(
+    version: MartVersion, sellers: DataFrame, store: MartStore, order_results: Callable, unique: list[Row]
+) -> None:
     totals = day_sums.added_totals(version.sums("month_sellers"), ["seller_id"])
     mart, results = _watched_sellers(sellers_mart.sellers_from_totals(sellers, totals))
     version.write_sellers(mart)
     rows = version.orders(version.written())
-    _publish(store, version, [*order_results(rows), *results(version.sellers())])
+    _publish(store, version, [*order_results(rows), *results(version.sellers()), *unique])
 
 
 # --- incremental refresh
@@ -242,7 +255,8 @@ def refresh(spark: SparkSession, raw_dir: str, store: MartStore) -> Datasets:
     facts = old.sums("seller_facts", folders)
     others = facts.join(ids, "order_id", "left_anti").select(facts.columns)
     version.write_facts(others.unionByName(followups.seller_facts(staging.order_items(after("order_items")), come)))
-    _write_sellers(version, staging.sellers(changes.read(changes.now)("sellers")), store, results)
+    unique = _unique_orders(version)
+    _write_sellers(version, staging.sellers(changes.read(changes.now)("sellers")), store, results, unique)
     return Datasets(spark, changes.read(changes.now), store)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +43,18 @@ def build_session(
     return builder.getOrCreate()
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """In it, shuffle files go when their query has ended, and not when the driver's next collection finds them unused."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     """Folder every executor reaches: the cluster's spark.checkpoint.dir, else `default`."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or default

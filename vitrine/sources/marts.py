@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from urllib.parse import unquote
 
@@ -11,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vitrine.functions.short_ids import long_ids
+from vitrine.operators.orders_mart import derived, underived
 from vitrine.sources.files import create, delete, names_in, text_of
 from vitrine.sources.readonly import read_only
 from vitrine.sources.schemas import MONTHLY, ORDERS_MART, SELLER_FACTS, SELLERS_MART
@@ -49,18 +52,22 @@ class MartVersion:
         self.manifest = manifest or Manifest()
 
     def write_orders(self, mart: DataFrame) -> None:
-        self.manifest.months |= self._write_months(ORDERS, mart)
+        columns = mart.columns
+        self.manifest.months |= self._write_months(ORDERS, underived(mart), then=lambda rows: derived(rows, columns))
 
-    def write_sums(self, name: str, sums: DataFrame) -> None:
-        self.manifest.sums[name] = self.manifest.sums.get(name, {}) | self._write_months(name, sums)
+    def write_sums(self, name: str, sums: DataFrame, deal: bool = True) -> None:
+        """`deal`: not for sums that lie in ranges by month already."""
+        self.manifest.sums[name] = self.manifest.sums.get(name, {}) | self._write_months(name, sums, deal)
 
-    def write_facts(self, facts: DataFrame) -> None:
+    def write_facts(self, facts: DataFrame, deal: bool = True) -> None:
         """What sellers sold, clustered by seller within the month, and what each file holds.
 
-        Ranges of seller and order are dealt out, so files hold few sellers and a large one has several.
+        Ranges of seller and order are dealt out, so files hold few sellers and a large one has several. `deal`: not
+        for facts that lie in such ranges already.
         """
         keys = ["order_month", "seller_id", "order_id"]
-        written = self._write_months(FACTS, facts.repartitionByRange(*keys).sortWithinPartitions(*keys), deal=False)
+        facts = facts.repartitionByRange(*keys) if deal else facts
+        written = self._write_months(FACTS, facts.sortWithinPartitions(*keys), deal=False)
         self.manifest.sums[FACTS] = self.manifest.sums.get(FACTS, {}) | written
         place = F.pmod(F.xxhash64("seller_id"), F.lit(BITS))
         files = (
@@ -89,11 +96,16 @@ class MartVersion:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*files).filter(F.col("seller_id") == seller_id)
 
-    def _write_months(self, name: str, rows: DataFrame, deal: bool = True) -> dict[str, str]:
-        """One folder a month. The rebalance gives full-sized files and splits a hot month."""
+    def _write_months(
+        self, name: str, rows: DataFrame, deal: bool = True, then: Callable[[DataFrame], DataFrame] | None = None
+    ) -> dict[str, str]:
+        """One folder a month. The rebalance gives full-sized files and splits a hot month. Ids are stored as text.
+
+        `then`: what is computed after the rebalance, so that it is not shuffled.
+        """
         folder = f"{self.root}/{name}"
         rows = rows.hint("rebalance", "order_month") if deal else rows
-        rows.withColumn("version", F.lit(self.name)).write.mode("append").partitionBy(
+        long_ids(then(rows) if then else rows).withColumn("version", F.lit(self.name)).write.mode("append").partitionBy(
             "order_month", "version"
         ).parquet(folder, compression="zstd")
         own = f"version={self.name}"
